@@ -1,0 +1,17 @@
+"""Broadcasts behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 200_000
+
+
+def small_side(table: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """The table marked for broadcast if it has at most ``rows`` rows, unmarked otherwise.
+
+    The check counts no further than the bound. An unmarked table joins by shuffle, where adaptive
+    execution splits hot keys.
+    """
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
