@@ -6,12 +6,14 @@ report. Results are small; only they are sorted, never the trips.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.functions import expressions as X
 from fareloom.plans.measures import is_summary, mean, preaggregate, total, trip_count
-from fareloom.schema import WEEKEND
+from fareloom.schema import WEATHER_CONDITIONS, WEEKEND
 
 
 def hourly_demand(
@@ -86,25 +88,38 @@ def _per_day(trips: DataFrame, pickup_date: str) -> DataFrame:
     return preaggregate(trips, [pickup_date], only=("fare", "distance"))
 
 
-def _days(weather: DataFrame, day: str) -> DataFrame:
-    """One condition per day; of several readings snow wins over rain and rain over clear.
+def _days(weather: DataFrame, day: str, conditions: Sequence[str]) -> DataFrame:
+    """One condition per day, the gravest of several readings.
 
-    The names of the conditions sort in that order.
+    Conditions are compared as ranks: a number aggregates by hash, text would need a sort.
     """
-    return weather.groupBy(day).agg(F.max("weather_condition").alias("weather_condition"))
+    names = F.array(*(F.lit(name) for name in conditions))
+    rank = F.array_position(names, F.col("weather_condition"))
+    unknown = F.raise_error(F.concat(F.lit("unknown weather_condition: "), "weather_condition"))
+    gravest = F.max(F.when(rank == 0, unknown).otherwise(rank)).alias("rank")
+    return (
+        weather.groupBy(day)
+        .agg(gravest)
+        .select(day, F.element_at(names, F.col("rank").cast("int")).alias("weather_condition"))
+    )
 
 
 def demand_by_weather(
-    trips: DataFrame, weather: DataFrame, pickup_date: str = "pickup_date", day: str = "DATE"
+    trips: DataFrame,
+    weather: DataFrame,
+    pickup_date: str = "pickup_date",
+    day: str = "DATE",
+    conditions: Sequence[str] = WEATHER_CONDITIONS,
 ) -> DataFrame:
     """Trips, average fare and distance by the weather of the day.
 
+    ``conditions`` lists the weather names from mildest to gravest; the gravest of a day counts.
     Both sides are reduced to one row per day first, so neither trips nor a hot date are shuffled.
     The join itself is left to adaptive execution, which broadcasts the days at their measured size
     if that is below its threshold and merges sorted partitions otherwise.
     """
     daily = _per_day(trips, pickup_date)
-    days = _days(weather, day)
+    days = _days(weather, day, conditions)
     return (
         daily.join(days, daily[pickup_date] == days[day])
         .groupBy("weather_condition")
@@ -122,8 +137,7 @@ def unmatched_trips(
 ) -> DataFrame:
     """How many trips ``demand_by_weather`` leaves out because their day has no reading."""
     daily = _per_day(trips, pickup_date)
-    days = _days(weather, day)
-    missing = daily.join(days, daily[pickup_date] == days[day], "left_anti")
+    missing = daily.join(weather, daily[pickup_date] == weather[day], "left_anti")
     return missing.agg(F.coalesce(trip_count(daily), F.lit(0)).alias("unmatched_trips"))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.operators import clean as C
-from fareloom.operators.weather import categorize_weather
 from fareloom.registry import sql as S
 from fareloom.registry import tables as T
 from fareloom.registry.entries import Entry
@@ -15,7 +14,7 @@ KEY_SQL = "l_orderkey, l_linenumber"
 DATE_TEXT = F.col("pickup_date").cast("string").alias("pickup_date")
 
 
-def _on_raw(operator, *columns) -> Entry.__annotations__["build"]:
+def _on_raw(operator, *columns):
     def build(spark, folder) -> DataFrame:
         return operator(T.raw_trips(spark, folder)).select(*T.KEYS, *columns)
 
@@ -99,15 +98,4 @@ ENTRIES = {
             S.NORMS,
         ),
     ),
-    "weather_condition": Entry(
-        lambda spark, folder: categorize_weather(T.weather(spark, folder)).select(
-            "STATION", F.col("DATE").cast("string").alias("DATE"), "PRCP", "SNOW",
-            "weather_condition",
-        ),
-        S.query(
-            """SELECT STATION, CAST(DATE AS VARCHAR) AS DATE, PRCP, SNOW, weather_condition
-            FROM days""",
-            S.WEATHER,
-        ),
-    ),
 }

@@ -19,10 +19,10 @@ class Entry:
 
 
 def entries() -> dict[str, Entry]:
-    from fareloom.registry import cleaning, modelling, profiling, reporting, storage
+    from fareloom.registry import cleaning, modelling, profiling, reporting, storage, weather
 
     merged: dict[str, Entry] = {}
-    for module in (cleaning, profiling, reporting, storage, modelling):
+    for module in (cleaning, profiling, reporting, weather, storage, modelling):
         for name, entry in module.ENTRIES.items():
             if name in merged:
                 raise ValueError(f"query {name} is registered twice")

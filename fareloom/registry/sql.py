@@ -98,6 +98,38 @@ days AS (
   FROM weather
 )"""
 
+SUMMARY = """
+summary AS (
+  SELECT unnest(['94728', '14732']) AS STATION, d AS DATE,
+    20.0::DOUBLE + (day(d) * 3 + month(d) * 5) % 70 AS TEMP,
+    CASE day(d) % 5 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN 0.05::DOUBLE WHEN 2 THEN 0.3::DOUBLE
+      WHEN 3 THEN 0.8::DOUBLE ELSE 99.99::DOUBLE END AS PRCP,
+    CASE WHEN day(d) % 7 = 0 THEN 999.9::DOUBLE ELSE day(d) / 2.0::DOUBLE END AS WDSP,
+    CASE WHEN day(d) % 11 = 0 THEN 999.9::DOUBLE
+      WHEN month(d) IN (12, 1, 2) AND day(d) % 4 = 0 THEN 3.0::DOUBLE
+      ELSE 0.0::DOUBLE END AS SNDP
+  FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)
+),
+measured AS (
+  SELECT * REPLACE (CASE WHEN PRCP >= 99 THEN 0 ELSE PRCP END AS PRCP,
+    CASE WHEN WDSP >= 999 THEN 0 ELSE WDSP END AS WDSP,
+    CASE WHEN SNDP >= 999 THEN 0 ELSE SNDP END AS SNDP)
+  FROM summary
+),
+banded AS (
+  SELECT *,
+    CASE WHEN TEMP < 32 THEN 'freezing' WHEN TEMP < 50 THEN 'cold' WHEN TEMP < 70 THEN 'mild'
+      ELSE 'warm' END AS temp_bucket,
+    CASE WHEN PRCP = 0 THEN 'dry' WHEN PRCP <= 0.1 THEN 'light_rain'
+      WHEN PRCP <= 0.5 THEN 'moderate_rain' ELSE 'heavy_rain' END AS prcp_bucket
+  FROM measured
+)"""
+
+JOINED = """
+joined AS (
+  SELECT * FROM clean JOIN banded ON pickup_date = DATE AND STATION = '94728'
+)"""
+
 ZONES = """
 zones AS (
   SELECT s_suppkey AS LocationID, n_name AS Borough, s_name AS Zone

@@ -95,6 +95,29 @@ def weather_days(spark: SparkSession, folder: str) -> DataFrame:
     return categorize_weather(weather(spark, folder))
 
 
+def summary_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily summaries of two stations, with unmeasured values among them."""
+    day, month = F.day("DATE"), F.month("DATE")
+    rain = (
+        F.when(day % 5 == 0, 0.0).when(day % 5 == 1, 0.05).when(day % 5 == 2, 0.3)
+        .when(day % 5 == 3, 0.8).otherwise(99.99)
+    )
+    depth = F.when(day % 11 == 0, 999.9).when(month.isin(12, 1, 2) & (day % 4 == 0), 3.0)
+    return (
+        table(spark, folder, "lineitem")
+        .select(F.to_date("l_shipdate").alias("DATE"))
+        .distinct()
+        .select(
+            F.explode(F.array(F.lit("94728"), F.lit("14732"))).alias("STATION"),
+            F.col("DATE").cast("string").alias("DATE"),
+            (20.0 + (day * 3 + month * 5) % 70).alias("TEMP"),
+            rain.alias("PRCP"),
+            F.when(day % 7 == 0, 999.9).otherwise(day / 2.0).alias("WDSP"),
+            depth.otherwise(0.0).alias("SNDP"),
+        )
+    )
+
+
 def station_file(spark: SparkSession, folder: str) -> str:
     """A wide station CSV in the shared folder: shuffled columns, blanks where nothing fell."""
     path = shared_folder(spark, "station")

@@ -34,6 +34,9 @@ TRIP_COLUMNS = {
 # One weather reading per station and day; PRCP in tenths of mm, SNOW in mm.
 WEATHER_COLUMNS = {"STATION": "string", "DATE": "date", "PRCP": "int", "SNOW": "int"}
 
+# Weather conditions, mildest first.
+WEATHER_CONDITIONS = ("clear", "rain", "snow")
+
 # The zone lookup file.
 ZONE_COLUMNS = {
     "LocationID": "int",
