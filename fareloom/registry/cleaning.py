@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.operators import clean as C
@@ -11,12 +11,21 @@ from fareloom.registry import tables as T
 from fareloom.registry.entries import Entry
 
 KEY_SQL = "l_orderkey, l_linenumber"
-DATE_TEXT = F.col("pickup_date").cast("string").alias("pickup_date")
+
+
+def _shown(name: str) -> Column:
+    """Dates as text and norms rounded, so that both engines print them alike."""
+    column = F.col(name)
+    if name == "pickup_date":
+        column = column.cast("string")
+    if name in C.SCALED.values():
+        column = F.round(column, 6)
+    return column.alias(name)
 
 
 def _on_raw(operator, *columns):
     def build(spark, folder) -> DataFrame:
-        return operator(T.raw_trips(spark, folder)).select(*T.KEYS, *columns)
+        return operator(T.raw_trips(spark, folder)).select(*T.KEYS, *map(_shown, columns))
 
     return build
 
@@ -25,13 +34,9 @@ def _scaled(raw: DataFrame) -> DataFrame:
     return raw.transform(C.fill_missing).transform(C.drop_and_cap).transform(C.scale_to_unit)
 
 
-def _norms():
-    return [F.round(name, 6).alias(name) for name in ("fare_norm", "dist_norm")]
-
-
 ENTRIES = {
     "calendar": Entry(
-        _on_raw(C.add_calendar, DATE_TEXT, "pickup_hour", "day_of_week"),
+        _on_raw(C.add_calendar, "pickup_date", "pickup_hour", "day_of_week"),
         S.query(
             f"""SELECT {KEY_SQL}, CAST(pickup_date AS VARCHAR) AS pickup_date, pickup_hour,
             day_of_week FROM (SELECT *, {S.CALENDAR} FROM raw)""",
@@ -53,7 +58,7 @@ ENTRIES = {
         ),
     ),
     "normalize": Entry(
-        _on_raw(_scaled, *_norms()),
+        _on_raw(_scaled, *C.SCALED.values()),
         S.query(f"SELECT {KEY_SQL}, fare_norm, dist_norm FROM scaled", S.CLEAN, S.NORMS),
     ),
     "encode": Entry(
@@ -74,7 +79,7 @@ ENTRIES = {
     "clean_trips": Entry(
         _on_raw(
             C.clean_trips,
-            DATE_TEXT,
+            "pickup_date",
             "pickup_hour",
             "day_of_week",
             "PULocationID",
@@ -84,7 +89,7 @@ ENTRIES = {
             "fare_amount",
             "tip_amount",
             "total_amount",
-            *_norms(),
+            *C.SCALED.values(),
             *C.PAYMENT_FLAGS,
             "distance_bucket",
             "time_of_day",

@@ -11,17 +11,16 @@ from fareloom.registry import tables as T
 from fareloom.registry.entries import Entry
 
 READINGS = ("STATION", "DATE", "TEMP", "PRCP", "WDSP", "SNDP")
-DATE_TEXT = F.col("DATE").cast("string").alias("DATE")
 
 
 def _conditions(spark, folder):
     days = categorize_weather(T.weather(spark, folder))
-    return days.select("STATION", DATE_TEXT, "PRCP", "SNOW", "weather_condition")
+    return days.select("STATION", F.col("DATE").cast("string"), "PRCP", "SNOW", "weather_condition")
 
 
 def _trips_with_weather(spark, folder):
     joined = join_weather(T.clean(spark, folder), T.weather_days(spark, folder))
-    return joined.select(*T.KEYS, DATE_TEXT, "PRCP", "SNOW", "weather_condition")
+    return joined.select(*T.KEYS, F.col("DATE").cast("string"), "PRCP", "SNOW", "weather_condition")
 
 
 def _banded(spark, folder):

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark import SparkConf
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -35,10 +36,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     ``spark.checkpoint.dir`` names storage that every executor reaches. It is unset only in tests
     and local trials, where a temporary folder serves.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="fareloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.sparkContext)
     return f"{root.rstrip('/')}/fareloom/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder(context: SparkContext) -> str:
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    folder = tempfile.mkdtemp(prefix="fareloom-")
+    context.setCheckpointDir(folder)
+    return folder

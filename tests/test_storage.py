@@ -1,0 +1,216 @@
+import datetime
+import json
+
+import pytest
+from conftest import final_plan_of
+from pyspark.sql import functions as F
+
+from fareloom import sinks, sources
+from fareloom.jobs import analytics, explore, preprocess, weather
+from fareloom.operators import demand as D
+from fareloom.operators.clean import clean_trips
+from fareloom.operators.weather import categorize_weather
+from fareloom.plans import sql_reports
+from fareloom.schema import TRIP_COLUMNS
+
+
+def files(path):
+    return sorted(p for p in path.rglob("*.parquet"))
+
+
+class TestWeatherFiles:
+    def test_missing_values_are_zero(self, spark, tmp_path):
+        (tmp_path / "w.csv").write_text(
+            "STATION,DATE,PRCP,SNOW\nUSW00094728,2022-01-15,50,0\nUSW00094728,2022-01-16,,\n"
+        )
+        rows = sources.read_weather(spark, str(tmp_path / "w.csv")).orderBy("DATE").collect()
+        assert [tuple(r)[1:] for r in rows] == [
+            (datetime.date(2022, 1, 15), 50, 0), (datetime.date(2022, 1, 16), 0, 0),
+        ]
+
+    def test_columns_are_found_by_name(self, spark, tmp_path):
+        (tmp_path / "w.csv").write_text("SNOW,DATE,STATION,PRCP\n7,2022-01-15,X,50\n")
+        row = sources.read_weather(spark, str(tmp_path / "w.csv")).first()
+        assert tuple(row) == ("X", datetime.date(2022, 1, 15), 50, 7)
+
+    def test_unreadable_values(self, spark, tmp_path):
+        (tmp_path / "w.csv").write_text("STATION,DATE,PRCP,SNOW\nX,15 Jan,wet,1\n")
+        assert tuple(sources.read_weather(spark, str(tmp_path / "w.csv")).first()) == ("X", None, 0, 1)
+
+    def test_ingest_job(self, spark, tmp_path):
+        (tmp_path / "wide.csv").write_text(
+            "STATION,NAME,DATE,SNOW,TMAX,PRCP\n"
+            "X,park,2018-12-31,1,5,1\n"
+            "X,park,2019-01-01, ,5,12\n"
+            "X,park,2022-12-31,3,5,\n"
+            "X,park,2023-01-01,1,5,1\n"
+        )
+        weather.main([str(tmp_path / "wide.csv"), str(tmp_path / "daily")])
+        rows = sources.read_weather(spark, str(tmp_path / "daily")).orderBy("DATE").collect()
+        assert [tuple(r) for r in rows] == [
+            ("X", datetime.date(2019, 1, 1), 12, 0), ("X", datetime.date(2022, 12, 31), 0, 3),
+        ]
+
+
+class TestTripFiles:
+    def test_drifting_types(self, spark, raw, tmp_path):
+        root = tmp_path / "trips"
+        variants = {
+            "year=2019/month=01": {"airport_fee": "int", "passenger_count": "bigint"},
+            "year=2020/month=02": {"airport_fee": "bigint", "VendorID": "int"},
+            "year=2021/month=03": {"trip_distance": "float", "payment_type": "double"},
+            "year=2022/month=04": {},
+        }
+        for i, (folder, kinds) in enumerate(variants.items()):
+            part = raw(airport_fee=float(i), passenger_count=3.0, payment_type=i)
+            for name, kind in kinds.items():
+                part = part.withColumn(name, F.col(name).cast(kind))
+            part.write.parquet(str(root / folder))
+        raw(airport_fee=9.0).drop("airport_fee").write.mode("append").parquet(str(root / folder))
+
+        trips = sources.read_trips_pinned(spark, str(root))
+        kinds = {f.name: f.dataType.simpleString() for f in trips.schema}
+        assert kinds == {**TRIP_COLUMNS, "year": "int", "month": "int"}
+        rows = trips.orderBy("year", F.col("airport_fee").isNull()).collect()
+        assert [(r["year"], r["month"], r["airport_fee"]) for r in rows] == [
+            (2019, 1, 0.0), (2020, 2, 1.0), (2021, 3, 2.0), (2022, 4, 3.0), (2022, 4, None),
+        ]
+        assert [r["payment_type"] for r in rows[:4]] == [0, 1, 2, 3]
+        assert {r["trip_distance"] for r in rows} == {2.5}
+
+    def test_pinned_read_prunes_columns_and_months(self, spark, raw, tmp_path):
+        raw().write.parquet(str(tmp_path / "year=2019/month=1"))
+        raw().write.parquet(str(tmp_path / "year=2020/month=1"))
+        trips = sources.read_trips_pinned(spark, str(tmp_path)).filter("year = 2020")
+        plan = final_plan_of(trips.filter("trip_distance > 0").select("fare_amount"))
+        assert "GreaterThan(trip_distance,0.0)" in plan
+        assert "PartitionFilters: [isnotnull(year" in plan
+        assert "tip_amount" not in plan
+
+    def test_pinned_read_of_flat_folder(self, spark, raw, tmp_path):
+        raw().write.parquet(str(tmp_path / "flat"))
+        assert sources.read_trips_pinned(spark, str(tmp_path / "flat")).columns == list(TRIP_COLUMNS)
+
+    def test_nothing_to_read(self, spark, tmp_path):
+        with pytest.raises(ValueError, match="no parquet"):
+            sources.read_trips_pinned(spark, str(tmp_path))
+
+    def test_overwrite_and_partitions(self, spark, clean, tmp_path):
+        path = str(tmp_path / "trips")
+        trips = clean({"fare_amount": 1.0}, {"fare_amount": 2.0}).withColumns(
+            {"year": F.lit(2022), "month": F.col("fare_amount").cast("int")}
+        )
+        sinks.write_trips(clean({}, {}, {}), path)
+        sinks.write_trips(trips, path, ("year", "month"), rebalance=True)
+        assert {p.parent.name for p in files(tmp_path)} == {"month=1", "month=2"}
+        again = trips.filter("month = 2").withColumn("fare_amount", F.lit(7.0))
+        sinks.write_trips(again, path, ("year", "month"), only_touched_partitions=True)
+        rows = sources.read_clean_trips(spark, path).orderBy("month").collect()
+        assert [(r["month"], r["fare_amount"]) for r in rows] == [(1, 1.0), (2, 7.0)]
+        sinks.write_trips(again, path, ("year", "month"))
+        assert sources.read_clean_trips(spark, path).count() == 1
+
+    def test_month_bounds_prune_partitions(self, spark, clean, tmp_path):
+        path = str(tmp_path / "trips")
+        months = [(y, m) for y in (2019, 2020, 2021) for m in (1, 6, 12)]
+        trips = spark.createDataFrame(months, "year int, month int").join(clean(), how="cross")
+        sinks.write_trips(trips, path, ("year", "month"))
+        kept = sources.read_clean_trips(spark, path, since=(2019, 6), until=(2021, 1))
+        assert sorted((r["year"], r["month"]) for r in kept.collect()) == months[1:7]
+        filters = final_plan_of(kept).split("PartitionFilters: ")[1].split("PushedFilters")[0]
+        assert "year" in filters and "month" in filters
+
+    def test_partition_writer_splits_a_hot_month(self, spark, clean, tmp_path):
+        trips = spark.range(1000).withColumns({"year": F.lit(2022), "month": F.lit(1)})
+        hinted = trips.hint("rebalance", F.col("year"), F.col("month"))
+        assert "REBALANCE_PARTITIONS_BY_COL" in hinted._jdf.queryExecution().executedPlan().toString()
+
+
+class TestSmallTables:
+    def test_zones(self, spark, tmp_path):
+        (tmp_path / "z.csv").write_text(
+            '"LocationID","Borough","Zone","service_zone"\n132,"Queens","JFK Airport","Airports"\n'
+        )
+        row = sources.read_zones(spark, str(tmp_path / "z.csv")).first()
+        assert tuple(row) == (132, "Queens", "JFK Airport", "Airports")
+
+    def test_metrics_document(self, spark, tmp_path):
+        scores = {"lr": {"rmse": 13.2, "r2": 0.16}, "gbt": {"rmse": 5.2, "r2": 0.87}}
+        (tmp_path / "metrics.json").write_text(json.dumps(scores, indent=2))
+        rows = sources.read_metrics_map(spark, str(tmp_path / "metrics.json")).collect()
+        assert [tuple(r) for r in rows] == [(0, "lr", 13.2, 0.16), (1, "gbt", 5.2, 0.87)]
+
+    def test_metrics_table(self, spark, tmp_path):
+        table = spark.createDataFrame([(0, "lr", 1.5, 0.5)], "position int, model string, rmse double, r2 double")
+        sinks.write_metrics(table, str(tmp_path / "m"))
+        assert sources.read_metrics(spark, str(tmp_path / "m")).collect() == table.collect()
+
+    def test_single_csv(self, spark, tmp_path):
+        sinks.write_csv(spark.range(4).repartition(4), str(tmp_path / "c"), single_file=True)
+        assert len(list((tmp_path / "c").glob("*.csv"))) == 1
+
+    def test_preview(self, spark):
+        table = spark.range(100).withColumn("x", -F.col("id"))
+        assert [r["id"] for r in sinks.preview(table, 3, ["id"], ["x"]).collect()] == [99, 98, 97]
+        assert sinks.preview(table, 5).count() == 5
+
+    def test_requests_from_rows(self, spark):
+        frame = sources.requests_from_rows(spark, [(161, 236, 2.5, 10, "Monday", 1, "Cash")])
+        assert frame.first()["day_name"] == "Monday"
+
+
+class TestJobs:
+    @pytest.fixture
+    def raw_path(self, raw, tmp_path):
+        path = str(tmp_path / "raw")
+        raw(
+            {"trip_distance": 0.5}, {"trip_distance": 5.0, "payment_type": 2},
+            {"trip_distance": 15.0}, {"trip_distance": 0.0}, {"trip_distance": float("nan")},
+        ).write.parquet(path)
+        return path
+
+    def test_explore(self, raw_path, capsys):
+        explore.main([raw_path])
+        assert "tpep_pickup_datetime" in capsys.readouterr().out
+
+    def test_preprocess_and_analytics(self, spark, raw, raw_path, tmp_path, capsys):
+        clean_path, out = str(tmp_path / "clean"), str(tmp_path / "results")
+        preprocess.main([raw_path, clean_path, "--pinned", "--reject-nan-distance"])
+        trips = sources.read_clean_trips(spark, clean_path)
+        assert trips.count() == 3
+        (tmp_path / "w.csv").write_text("STATION,DATE,PRCP,SNOW\nX,2022-01-15,9,0\n")
+        analytics.main([clean_path, str(tmp_path / "w.csv"), out, "--csv", str(tmp_path / "csv")])
+        results = {name: sources.read_result(spark, out, name) for name in analytics.PRINTED}
+        days = categorize_weather(sources.read_weather(spark, str(tmp_path / "w.csv")))
+        expected = {
+            "q1_hourly_demand": D.hourly_demand(trips),
+            "q2_zone_revenue": D.zone_revenue(trips),
+            "q3_tipping": D.tipping_by_distance(trips),
+            "q4_fare_per_mile": D.fare_per_mile(trips),
+            "q5_weather_demand": D.demand_by_weather(trips, days),
+        }
+        for name, frame in expected.items():
+            assert results[name].collect() == frame.collect(), name
+            assert list((tmp_path / "csv" / name).glob("*.csv"))
+
+
+class TestSqlReports:
+    def test_differ_from_the_dataframe_reports_as_documented(self, raw):
+        sunday = datetime.datetime(2022, 1, 16, 8)
+        trips = raw({"tpep_pickup_datetime": sunday}, {"fare_amount": 0.0}, {"trip_distance": 0.0})
+        hourly = sql_reports.sql_report("hourly_demand", trips).collect()
+        assert [tuple(r) for r in hourly] == [(8, 7, 1), (10, 6, 2)]
+        tipping = sql_reports.sql_report("tipping", trips).collect()
+        assert [tuple(r) for r in tipping] == [("medium", 16.67, 2.0, 1), ("short", 16.67, 2.0, 1)]
+        price = sql_reports.sql_report("fare_per_mile", trips).collect()
+        assert [tuple(r) for r in price] == [("medium", 2.4, 6.0, 2.5, 2)]
+
+    def test_views(self, spark, raw):
+        sql_reports.register_views(spark, raw({}, {}), clean_trips(raw()))
+        assert spark.sql("SELECT count(*) FROM trips_raw").first()[0] == 2
+        assert spark.sql("SELECT distance_bucket FROM trips_clean").first()[0] == "medium"
+
+    def test_zone_revenue_on_clean_trips(self, clean):
+        trips = clean(*({"PULocationID": z, "fare_amount": float(z)} for z in range(25)))
+        rows = sql_reports.sql_report("zone_revenue", trips).collect()
+        assert [r["PULocationID"] for r in rows] == list(range(24, 4, -1))
