@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 200_000
+from fareloom.session import written
 
+SMALL_BYTES = 64 << 20
 
-def small_side(table: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """The table marked for broadcast if it has at most ``rows`` rows, unmarked otherwise.
 
-    The check counts no further than the bound. An unmarked table joins by shuffle, where adaptive
-    execution splits hot keys.
+def size_in_bytes(table: DataFrame) -> int:
+    """The measured size of a table as text, which is more than its size in memory as columns."""
+    text = F.octet_length(F.to_json(F.struct("*")))
+    return table.agg(F.coalesce(F.sum(text), F.lit(0))).first()[0]
+
+
+def small_side(table: DataFrame, most_bytes: int = SMALL_BYTES) -> DataFrame:
+    """The table marked for broadcast if it measures at most ``most_bytes``, else written out.
+
+    A table beyond the bound joins by shuffle. Adaptive execution splits hot keys of such a join
+    only if both sides are shuffled for it; a side that comes out of an aggregation is not, as it
+    already lies in the right partitions. Reading it back from the shared folder makes it so.
     """
-    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+    if size_in_bytes(table) <= most_bytes:
+        return F.broadcast(table)
+    return written(table, "side")

@@ -7,7 +7,7 @@ import uuid
 from functools import cache
 
 from pyspark import SparkConf, SparkContext
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "fareloom", master: str | None = None, cores: int | str = "*") -> SparkSession:
@@ -40,6 +40,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/fareloom/{name}-{uuid.uuid4().hex}"
 
 
+def written(table: DataFrame, name: str) -> DataFrame:
+    """The table as a Parquet table in the shared folder, which outlives lost executors."""
+    path = shared_folder(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.parquet(path)
+
+
 @cache
 def _own_folder(context: SparkContext) -> str:
     if not context.master.startswith("local"):

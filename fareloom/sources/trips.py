@@ -60,10 +60,7 @@ def _footer_types(paths: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def file_layouts(spark: SparkSession, root: str) -> DataFrame:
-    """One row per distinct set of column types below ``root``, with the files that have it.
-
-    Footers are read by Spark tasks. Only file names reach the driver, as for any Spark file scan.
-    """
+    """``folder, path, layout`` of every Parquet file below ``root``; footers are read by tasks."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
@@ -72,7 +69,39 @@ def file_layouts(spark: SparkSession, root: str) -> DataFrame:
         .select("path")
     )
     typed = files.mapInPandas(_footer_types, "path string, layout string")
-    return typed.groupBy("layout").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return typed.select(folder.alias("folder"), "path", "layout")
+
+
+def scan_groups(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """What to scan together, by column types: whole folders, and files only where types mix.
+
+    Types drift from one delivery to the next, so a month's folder has one layout and is named as a
+    whole however many files it holds. Files are named one by one only in a folder whose files
+    differ, or that has further folders below it.
+    """
+    files = file_layouts(spark, root)
+    folders = (
+        files.groupBy("folder")
+        .agg(F.min("layout").alias("layout"), F.max("layout").alias("other"))
+        .orderBy("folder")
+        .collect()
+    )
+    parents = {row["folder"].rsplit("/", depth)[0] for row in folders for depth in range(1, 9)}
+    single = {
+        row["folder"]: row["layout"]
+        for row in folders
+        if row["layout"] == row["other"] and row["folder"] not in parents
+    }
+    mixed = [row["folder"] for row in folders if row["folder"] not in single]
+    sources = list(single.items())
+    if mixed:
+        named = files.filter(F.col("folder").isin(mixed)).select("path", "layout").orderBy("path")
+        sources += [tuple(row) for row in named.collect()]
+    groups: dict[str, list[str]] = {}
+    for path, layout in sources:
+        groups.setdefault(layout, []).append(path)
+    return groups
 
 
 def read_trips_pinned(
@@ -85,14 +114,14 @@ def read_trips_pinned(
     folders below ``root`` add their partition columns.
     """
     columns = columns or TRIP_COLUMNS
-    groups = [row["paths"] for row in file_layouts(spark, root).orderBy("layout").collect()]
+    known = {name.lower() for name in columns}
+    groups = scan_groups(spark, root)
     if not groups:
         raise ValueError(f"no parquet files below {root}")
 
     def pinned(paths: list[str]) -> DataFrame:
         scan = spark.read.option("basePath", root).parquet(*paths)
         present = {name.lower() for name in scan.columns}
-        known = {name.lower() for name in columns}
         wanted = [
             (F.col(name) if name.lower() in present else F.lit(None)).cast(kind).alias(name)
             for name, kind in columns.items()
@@ -101,11 +130,12 @@ def read_trips_pinned(
         return scan.select(*wanted, *partitions)
 
     return reduce(
-        lambda left, right: left.unionByName(right, allowMissingColumns=True), map(pinned, groups)
+        lambda left, right: left.unionByName(right, allowMissingColumns=True),
+        map(pinned, groups.values()),
     )
 
 
 def _partition_columns(path: str, root: str) -> list[str]:
-    """Names of the ``key=value`` folders between ``root`` and the file."""
+    """Names of the ``key=value`` folders between ``root`` and a folder or file below it."""
     below = path.split(root.removeprefix("file:").rstrip("/"), 1)[-1]
-    return [part.split("=", 1)[0] for part in below.split("/")[:-1] if "=" in part]
+    return [part.split("=", 1)[0] for part in below.split("/") if "=" in part]

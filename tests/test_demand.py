@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 from conftest import final_plan_of
+from pyspark.sql import functions as F
 
 from fareloom.operators import demand as D
 from fareloom.operators.weather import (
@@ -121,8 +122,6 @@ class TestDemandByWeather:
         assert [(r["weather_condition"], r["trip_count"]) for r in rows] == [("rain", 3), ("snow", 1)]
 
     def test_unknown_condition_is_an_error(self, trips, days):
-        from pyspark.sql import functions as F
-
         with pytest.raises(Exception, match="unknown weather_condition: hail"):
             D.demand_by_weather(trips, days.withColumn("weather_condition", F.lit("hail"))).collect()
 
@@ -166,10 +165,40 @@ class TestJoinWeather:
         assert "BroadcastHashJoin" in final_plan_of(joined)
 
     def test_large_side_is_not_broadcast(self, spark):
-        assert small_side(spark.range(11), rows=10).count() == 11
-        explained = small_side(spark.range(11), rows=10)._jdf.queryExecution().toString()
-        assert "ResolvedHint" not in explained
-        assert "ResolvedHint" in small_side(spark.range(10), rows=10)._jdf.queryExecution().toString()
+        def hinted(most_bytes):
+            side = small_side(spark.range(100), most_bytes)
+            assert side.count() == 100
+            return "ResolvedHint" in side._jdf.queryExecution().toString()
+
+        assert hinted(10_000) and not hinted(100)
+        assert small_side(spark.range(0)).count() == 0
+
+    def test_join_beyond_the_bound_splits_a_hot_day(self, spark, clean, readings, monkeypatch):
+        from fareloom.plans import joins
+
+        monkeypatch.setattr(joins.small_side, "__defaults__", (0,))
+        changed = {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        }
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        try:
+            hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 30)
+            trips = (
+                spark.range(0, 60_000, 1, 8)
+                .select(F.date_add(F.lit(JAN[0]), hot.cast("int")).alias("pickup_date"), "id")
+            )
+            days = readings(*({"DATE": day, "PRCP": 1} for day in JAN))
+            joined = join_weather(trips, categorize_weather(days))
+            assert "SortMergeJoin(skew=true)" in final_plan_of(joined)
+            assert joined.count() == 60_000
+        finally:
+            for name in changed:
+                spark.conf.unset(name)
 
 
 class TestSummary:

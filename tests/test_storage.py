@@ -12,6 +12,7 @@ from fareloom.operators.clean import clean_trips
 from fareloom.operators.weather import categorize_weather
 from fareloom.plans import sql_reports
 from fareloom.schema import TRIP_COLUMNS
+from fareloom.sources.trips import scan_groups
 
 
 def files(path):
@@ -91,6 +92,24 @@ class TestTripFiles:
         raw().write.parquet(str(tmp_path / "flat"))
         assert sources.read_trips_pinned(spark, str(tmp_path / "flat")).columns == list(TRIP_COLUMNS)
 
+    def test_whole_folders_are_named_and_files_only_where_types_mix(self, spark, raw, tmp_path):
+        short = raw().withColumn("airport_fee", F.col("airport_fee").cast("int"))
+        raw({}, {}, {}).repartition(3).write.parquet(str(tmp_path / "month=1"))
+        short.write.parquet(str(tmp_path / "month=2"))
+        raw().write.parquet(str(tmp_path / "month=3"))
+        short.write.mode("append").parquet(str(tmp_path / "month=3"))
+        groups = scan_groups(spark, str(tmp_path))
+        named = {path.split("month=")[1][:2] for paths in groups.values() for path in paths}
+        assert named == {"1", "2", "3/"} and len(groups) == 2
+        trips = sources.read_trips_pinned(spark, str(tmp_path))
+        counts = trips.groupBy("month").count().orderBy("month").collect()
+        assert [tuple(r) for r in counts] == [(1, 3), (2, 1), (3, 2)]
+
+    def test_files_beside_folders_are_read_once(self, spark, raw, tmp_path):
+        raw({}, {}).write.parquet(str(tmp_path / "all"))
+        raw().write.parquet(str(tmp_path / "all" / "more" / "late"))
+        assert sources.read_trips_pinned(spark, str(tmp_path / "all")).count() == 3
+
     def test_nothing_to_read(self, spark, tmp_path):
         with pytest.raises(ValueError, match="no parquet"):
             sources.read_trips_pinned(spark, str(tmp_path))
