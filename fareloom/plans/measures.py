@@ -48,7 +48,7 @@ def trip_summary(trips: DataFrame) -> DataFrame:
 
 
 def is_summary(table: DataFrame) -> bool:
-    return "trips" in table.columns
+    return "trips" in table.columns and any(name.endswith("_sum") for name in table.columns)
 
 
 def trip_count(table: DataFrame) -> Column:
