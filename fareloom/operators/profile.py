@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.functions import expressions as X
 from fareloom.schema import PAYMENT_FLAGS, CleaningRules
+from fareloom.session import written
 
 RULES = CleaningRules()
 DESCRIBED = ("trip_distance", "fare_amount", "tip_amount", "passenger_count")
@@ -115,31 +116,68 @@ def audit_cleaning(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     )
 
 
+def exact_median(table: DataFrame, column: str) -> DataFrame:
+    """The median of a column in one row, without gathering its values anywhere.
+
+    Values are counted where they are, ordered over many partitions and written out with the number
+    of their partition. Counts per partition tell which one or two of them hold the middle; only
+    those are searched. NULL and NaN do not take part.
+    """
+    value = F.col(column).cast("double").alias("value")
+    counts = (
+        table.select(value)
+        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        .groupBy("value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    spread_out = counts.repartitionByRange("value").withColumn("part", F.spark_partition_id())
+    ordered = written(spread_out, "median")
+    parts = ordered.groupBy("part").agg(F.sum("n").alias("part_n"))
+    everything = F.sum("part_n").over(Window.partitionBy())
+    middle = (
+        parts.select(
+            "part",
+            (F.sum("part_n").over(Window.orderBy("part")) - F.col("part_n")).alias("before"),
+            "part_n",
+            F.floor((everything - 1) / 2).alias("low"),
+            F.floor(everything / 2).alias("high"),
+        )
+        .filter("before <= high AND before + part_n > low")
+        .drop("part_n")
+    )
+    within = Window.partitionBy("part").orderBy("value")
+    reached = F.col("before") + F.sum("n").over(within)
+    # At most two rows: the two middle positions are next to each other.
+    searched = ordered.join(F.broadcast(middle), "part").withColumn("reached", reached)
+    ends = [F.min(F.when(F.col("reached") > F.col(end), F.col("value"))) for end in ("low", "high")]
+    return searched.agg(((ends[0] + ends[1]) / 2).alias("median"))
+
+
 def data_facts(raw: DataFrame, near: float = 3.0, median_accuracy: int | None = None) -> DataFrame:
     """Headline facts of raw trips in one row.
 
-    The exact median keeps a counter per distinct distance, which is small for distances recorded in
-    hundredths. ``median_accuracy`` takes the bounded sketch instead, for columns without such a
-    resolution.
+    The median is exact and takes a second pass over the distances. With ``median_accuracy`` it
+    comes from a sketch of that accuracy in the same pass as all other facts.
     """
     distance, fare, payment = F.col("trip_distance"), F.col("fare_amount"), F.col("payment_type")
     rows = F.count(F.lit(1))
-    if median_accuracy is None:
-        median = F.percentile(distance, 0.5)
-    else:
-        median = F.percentile_approx(distance, 0.5, median_accuracy)
 
     def share(condition: Column) -> Column:
         return F.round(X.percent(F.count_if(condition), rows), 1)
 
-    return raw.agg(
-        rows.alias("trip_count"),
-        median.alias("median_distance"),
-        share(distance < near).alias("near_pct"),
-        X.to_cents(F.avg(fare)).alias("avg_fare"),
-        X.to_cents(F.avg("total_amount")).alias("avg_total"),
-        share(payment == PAYMENT_FLAGS["pay_credit_card"]).alias("credit_card_pct"),
-        share(payment == PAYMENT_FLAGS["pay_cash"]).alias("cash_pct"),
-        F.count_if(distance == 0).alias("zero_distance"),
-        F.count_if(fare < 0).alias("negative_fare"),
-    )
+    facts = {
+        "trip_count": rows,
+        "near_pct": share(distance < near),
+        "avg_fare": X.to_cents(F.avg(fare)),
+        "avg_total": X.to_cents(F.avg("total_amount")),
+        "credit_card_pct": share(payment == PAYMENT_FLAGS["pay_credit_card"]),
+        "cash_pct": share(payment == PAYMENT_FLAGS["pay_cash"]),
+        "zero_distance": F.count_if(distance == 0),
+        "negative_fare": F.count_if(fare < 0),
+    }
+    if median_accuracy is not None:
+        facts["median_distance"] = F.percentile_approx(distance, 0.5, median_accuracy)
+    table = raw.agg(*(fact.alias(name) for name, fact in facts.items()))
+    if median_accuracy is not None:
+        return table
+    return table.withColumn("median_distance", exact_median(raw, "trip_distance").scalar())

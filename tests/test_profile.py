@@ -1,3 +1,5 @@
+import statistics
+
 import pytest
 
 from fareloom.operators import profile as P
@@ -72,4 +74,37 @@ def test_data_facts(raw, accuracy):
         {"trip_distance": 4.0, "fare_amount": -3.0},
     )
     facts = only(P.data_facts(trips, median_accuracy=accuracy))
-    assert tuple(facts) == (3, 2.0, 66.7, 7.0, 15.0, 66.7, 33.3, 1, 1)
+    assert tuple(facts) == (3, 66.7, 7.0, 15.0, 66.7, 33.3, 1, 1, 2.0)
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [],
+        [None, NAN],
+        [4.0],
+        [4.0, 1.0],
+        [3.0, None, 1.0, NAN, 2.0],
+        [7.0] * 5 + [1.0, 9.0],
+        [1.0, 1.0, 5.0, 5.0],
+        [float(i * 7919 % 1000) for i in range(1000)],
+        [float(i * 7919 % 999) / 8 for i in range(999)] + [0.0] * 400,
+        [-1.5, -0.0, 0.0, 2.25],
+    ],
+)
+def test_exact_median(spark, values):
+    table = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+    known = [v for v in values if v is not None and v == v]
+    expected = statistics.median(known) if known else None
+    assert only(P.exact_median(table, "x"))["median"] == expected
+
+
+def test_exact_median_over_many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for rows in (2000, 2001):
+            table = spark.range(rows).selectExpr("cast(id * 7919 % 100003 as double) AS x")
+            expected = statistics.median(r["x"] for r in table.collect())
+            assert only(P.exact_median(table, "x"))["median"] == expected
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
