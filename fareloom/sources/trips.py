@@ -68,7 +68,9 @@ def file_layouts(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path")
     )
-    typed = files.mapInPandas(_footer_types, "path string, layout string")
+    # A scan plans about one task per large file; a footer is little work, so tasks take many files.
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    typed = files.coalesce(tasks).mapInPandas(_footer_types, "path string, layout string")
     folder = F.regexp_replace("path", "/[^/]*$", "")
     return typed.select(folder.alias("folder"), "path", "layout")
 
