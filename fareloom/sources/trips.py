@@ -42,25 +42,24 @@ def _from_month(since: tuple[int, int]) -> Column:
     return (F.col("year") > year) | ((F.col("year") == year) & (F.col("month") >= month))
 
 
-def _footer_types(paths: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Column types out of each file's footer; runs in tasks, one batch of file names at a time."""
-    from pyarrow import fs
-    from pyarrow import parquet
-
-    for batch in paths:
-        layouts = []
-        for uri in batch["path"]:
+def file_layouts(spark: SparkSession, root: str) -> DataFrame:
+    """``folder, path, layout`` of every Parquet file below ``root``; footers are read by tasks."""
+
+    # Local, so that it travels to the tasks by value and they need not have this package.
+    def layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs, parquet
+
+        def layout(uri: str) -> str:
             if uri.startswith("file:"):
                 store, name = fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
             else:
                 store, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
             footer = parquet.read_schema(name, filesystem=store)
-            layouts.append(", ".join(sorted(f"{column.name} {column.type}" for column in footer)))
-        yield pd.DataFrame({"path": batch["path"], "layout": layouts})
+            return ", ".join(sorted(f"{column.name} {column.type}" for column in footer))
 
+        for batch in batches:
+            yield batch.assign(layout=batch["path"].map(layout))
 
-def file_layouts(spark: SparkSession, root: str) -> DataFrame:
-    """``folder, path, layout`` of every Parquet file below ``root``; footers are read by tasks."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
@@ -70,7 +69,7 @@ def file_layouts(spark: SparkSession, root: str) -> DataFrame:
     )
     # A scan plans about one task per large file; a footer is little work, so tasks take many files.
     tasks = 4 * spark.sparkContext.defaultParallelism
-    typed = files.coalesce(tasks).mapInPandas(_footer_types, "path string, layout string")
+    typed = files.coalesce(tasks).mapInPandas(layouts, "path string, layout string")
     folder = F.regexp_replace("path", "/[^/]*$", "")
     return typed.select(folder.alias("folder"), "path", "layout")
 
