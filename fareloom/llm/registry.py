@@ -9,13 +9,71 @@ from pyspark.sql import functions as F
 from fareloom.llm.packing import pack_documents
 from fareloom.llm.repeats import mark_repeats
 from fareloom.llm.simhash import near_duplicates
+from fareloom.llm.tables import table
+from fareloom.llm.urls import judge_urls, rule_table
+from fareloom.llm.warc import mark_revisits, read_archives, write_archives
 from fareloom.registry.entries import Entry
+from fareloom.session import shared_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+URL_RULES = {
+    "net/": "block",
+    "example.net/en/": "allow",
+    "example.com/de/": "block",
+    "org/fr/": "allow",
+}
+URL_SQL = r"""
+WITH parts AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages
+), rules(rule, host, path, verdict) AS (
+    VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+           ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')
+)
+SELECT p.page_id, p.host, p.path, arg_max(r.rule, length(r.rule)) AS rule,
+       coalesce(arg_max(r.verdict, length(r.rule)), 'allow') AS verdict
+FROM parts p LEFT JOIN rules r
+  ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+GROUP BY p.page_id, p.host, p.path
+"""
+WARC_SQL = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), groups AS (
+    SELECT html, max(page_id) AS last FROM payloads WHERE payload_bytes >= 1000 GROUP BY html
+)
+SELECT p.page_id, p.payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN g.last <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.last <> p.page_id THEN g.last END AS refers_to
+FROM payloads p LEFT JOIN groups g ON p.html = g.html
+"""
+
+
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"), rule_table(spark, URL_RULES))
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+def op4_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select(
+        F.col("page_id").alias("id"), "url", F.col("html").cast("binary").alias("payload")
+    )
+    path = shared_folder(spark, "archives")
+    write_archives(mark_revisits(pages), path)
+    records = read_archives(spark, path).where("reason IS NULL")
+    number = lambda name: F.regexp_extract(name, r"<urn:page:(-?\d+)>", 1)
+    revisit = F.col("record_type") == "revisit"
+    return records.select(
+        F.expr("try_cast(regexp_extract(record_id, '<urn:page:(.*)>', 1) AS bigint)").alias("page_id"),
+        F.when(revisit, F.col("http_length")).otherwise(F.octet_length("payload").cast("bigint"))
+        .alias("payload_bytes"),
+        F.when(revisit, F.substring_index("digest", ":", -1)).otherwise(F.sha1("payload"))
+        .alias("payload_digest"),
+        "record_type",
+        F.when(revisit, number("refers_to").cast("bigint")).alias("refers_to"),
+    )
 
 
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,6 +92,9 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ENTRIES = {
-    build.__name__: Entry(build)
-    for build in (op5_best_fit_packing, op7_simhash_near_dedup, op9_substring_dedup)
+    "op2_url_filters": Entry(op2_url_filters, URL_SQL),
+    "op4_warc_salvage": Entry(op4_warc_salvage, WARC_SQL),
+    "op5_best_fit_packing": Entry(op5_best_fit_packing),
+    "op7_simhash_near_dedup": Entry(op7_simhash_near_dedup),
+    "op9_substring_dedup": Entry(op9_substring_dedup),
 }
