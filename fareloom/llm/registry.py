@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareloom.llm.counts import token_counts
+from fareloom.llm.forest import nearest
 from fareloom.llm.packing import pack_documents
+from fareloom.llm.pieces import decode_pieces, encode_pieces
+from fareloom.llm.quality import score_quality
 from fareloom.llm.repeats import mark_repeats
 from fareloom.llm.simhash import near_duplicates
 from fareloom.llm.tables import table
+from fareloom.llm.topk import largest_products
 from fareloom.llm.urls import judge_urls, rule_table
 from fareloom.llm.warc import mark_revisits, read_archives, write_archives
 from fareloom.registry.entries import Entry
 from fareloom.session import shared_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 URL_RULES = {
     "net/": "block",
     "example.net/en/": "allow",
@@ -52,10 +58,44 @@ FROM payloads p LEFT JOIN groups g ON p.html = g.html
 """
 
 
+TOP_K_SQL = """
+WITH scaled AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), true)
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM scaled q JOIN scaled c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+
+def held_out_ids(doc_id: Column) -> Column:
+    return F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2
+
+
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(held_out_ids(F.col("doc_id")), F.lit(False))
+    scored = score_quality(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), learn_from=~held_out
+    )
+    predicted = F.when(F.col("score") >= 0.7, 1).otherwise(0)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), rule_table(spark, URL_RULES))
 
 
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), PIECE_BPE)
+
+
 def op4_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select(
         F.col("page_id").alias("id"), "url", F.col("html").cast("binary").alias("payload")
@@ -80,21 +120,46 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), BYTE_BPE, most=2048)
 
 
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = near_duplicates(table(spark, folder, "documents"), size=3, bits=2)
     shown = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return groups.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = encode_pieces(table(spark, folder, "documents"), PIECE_BPE)
+    decoded = decode_pieces(encoded, PIECE_BPE)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     marked = mark_repeats(table(spark, folder, "documents"), window=20)
     return marked.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return largest_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 ENTRIES = {
+    "op1_quality_classifier": Entry(op1_quality_classifier),
     "op2_url_filters": Entry(op2_url_filters, URL_SQL),
+    "op3_token_counts": Entry(op3_token_counts),
     "op4_warc_salvage": Entry(op4_warc_salvage, WARC_SQL),
     "op5_best_fit_packing": Entry(op5_best_fit_packing),
+    "op6_nearest_neighbours": Entry(op6_nearest_neighbours),
     "op7_simhash_near_dedup": Entry(op7_simhash_near_dedup),
+    "op8_sentencepiece": Entry(op8_sentencepiece),
     "op9_substring_dedup": Entry(op9_substring_dedup),
+    "op10_exact_top_k": Entry(op10_exact_top_k, TOP_K_SQL),
 }
