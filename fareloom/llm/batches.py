@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +44,14 @@ def word_hashes() -> Cache:
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``CHUNK_BYTES`` of text and at least one row."""
     for batch in batches:
-        lengths = batch.column(text).to_pylist() if batch.num_rows else []
-        start = size = 0
-        for i, value in enumerate(lengths):
-            size += len(value) if value else 0
-            if size >= CHUNK_BYTES:
-                yield batch.slice(start, i + 1 - start)
-                start, size = i + 1, 0
-        if start < batch.num_rows:
-            yield batch.slice(start)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + CHUNK_BYTES, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def one_row_per(table: DataFrame, key: str, value: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from fareloom.llm.batches import chunks, one_row_per
 
 #: Parts a worker keeps; the number changes the time only.
-PARTS = 600_000
+PARTS = 1_500_000
 
 
 @cache
@@ -30,25 +30,30 @@ def encoder(tokenizer: str) -> Callable[[str | None], bytes]:
     from tokenizers import Tokenizer
 
     inner = Tokenizer.from_file(tokenizer)
-    parts: dict[str, bytes | None] = {}
+    parts: dict[str, bytes] = {}
+    odd: set[str] = set()
 
     def packed(encoding) -> bytes:
         return array("I", encoding.ids).tobytes()
 
+    def encoded(new: list[str]) -> dict[str, bytes]:
+        found = inner.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
+        fresh = dict(zip(new, map(packed, found), strict=True))
+        odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
+        if len(parts) + len(new) > PARTS:
+            parts.clear()
+        parts.update(fresh)
+        return fresh
+
     def encode(text: str | None) -> bytes:
         if not text:
             return b""
         first, *split = text.split(" ")
-        new = [part for part in split if part not in parts]
-        if new:
-            new = list(set(new if len(parts) + len(new) < PARTS else split))
-            if len(parts) + len(new) >= PARTS:
-                parts.clear()
-            found = inner.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
-            parts.update(zip(new, map(packed, found), strict=True))
-            parts.update((p, None) for p in new if not p or p[0].isspace() or p[-1].isspace())
-        ids = list(map(parts.__getitem__, split))
-        if None in ids or not first or first[-1].isspace():
+        ids = list(map(parts.get, split))
+        if None in ids:
+            fresh = encoded(list({p for p, i in zip(split, ids, strict=True) if i is None}))
+            ids = [fresh[p] if i is None else i for p, i in zip(split, ids, strict=True)]
+        if not first or first[-1].isspace() or (odd and not odd.isdisjoint(split)):
             return packed(inner.encode(text, add_special_tokens=False))
         return packed(inner.encode(first, add_special_tokens=False)) + b"".join(ids)
 
