@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -228,3 +229,25 @@ def score_quality(
 
     kind = stats.schema["doc_id"].dataType.simpleString()
     return stats.mapInArrow(run, f"doc_id {kind}, score double")
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, learn_from, least: float = 0.7, key: str = "doc_id",
+    text: str = "text", label: str = "quality",
+) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, with all their columns as they are.
+
+    Learns and scores as :func:`score_quality` does. Without any label every row stays.
+    """
+    stats = document_statistics(docs, key, text)
+    known = labels.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{label}`").cast("double").alias("label"))
+    known = known.where(learn_from).groupBy("doc_id").agg(F.avg("label").alias("label"))
+    found = fit(stats.join(known, "doc_id"))
+    if found is None:
+        return docs
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(found.score(np.array([statistics(t) for t in texts]).reshape(len(texts), -1)))
+
+    return docs.where(score(F.col(f"`{text}`")) >= least)

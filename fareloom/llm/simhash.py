@@ -20,16 +20,18 @@ BYTES = 8
 SEED = 42
 
 
-def _shingles(text: str | None, size: int) -> list[bytes]:
+def shingles(text: str | None, size: int) -> list[bytes]:
+    """Runs of ``size`` words, A-Z lower-cased; fewer words are one run, no words none."""
     tokens = text.encode("utf-8", "replace").lower().split() if text else []
     if len(tokens) <= size:
         return [b" ".join(tokens)] if tokens else []
     return list(map(b" ".join, zip(*(tokens[i:] for i in range(size)), strict=False)))
 
 
-def _fingerprint(shingles: list[bytes]) -> int:
+def fingerprint(features: list[bytes]) -> int:
+    """A bit is set if over half the hashes have it; as a signed number."""
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+    hashes = np.array([digest(s, SEED) for s in features], dtype="<u8")
     ones = np.zeros(64, dtype=np.int64)
     for part in range(0, len(hashes), 1 << 16):
         bits = np.unpackbits(
@@ -51,7 +53,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            prints = [_fingerprint(_shingles(t, size)) for t in batch.column("text").to_pylist()]
+            prints = [fingerprint(shingles(t, size)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(prints, pa.int64())], names=["doc_id", "fp"]
             )
