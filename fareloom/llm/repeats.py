@@ -229,7 +229,8 @@ def _judged(passages: DataFrame, window: int) -> DataFrame:
                     for column, found in zip(out, flush(held), strict=True):
                         column.extend(found)
                     held = []
-                held.append(item)
+                if not held or held[-1][:3] != item[:3]:  # rows alike are one document
+                    held.append(item)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], kinds), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())],
                 names=["doc_id", "row", "start", "length"],
