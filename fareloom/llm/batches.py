@@ -23,15 +23,22 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Cache(dict):
-    """A dict that fills itself and starts anew when it is full."""
+    """A dict that fills itself and keeps what was used last.
+
+    It holds two generations of half the entries each; what is asked for again moves to the newer.
+    """
 
     def __init__(self, make: Callable, entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.make, self.entries = make, entries
+        self.make, self.half = make, max(1, entries // 2)
+        self.older: dict = {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(self) >= self.entries:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
             self.clear()
         self[key] = value
         return value

@@ -15,6 +15,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from fareloom.llm.batches import Cache, chunks, one_row_per
@@ -24,10 +25,14 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: What unknown pieces decode to; a fixed value.
 UNKNOWN_TEXT = " ⁇ "
+#: Numbers of single characters that are no pieces start here, and no number needs more bits.
+FIRST_CHARACTER, SYMBOL_BITS = 1 << 24, 26
+#: Any character that no piece holds, a symbol merged into its left neighbour, and no rank.
+OTHER, GONE, NEVER = (1 << 26) - 1, -1, 1 << 30
 #: Characters from which a stretch is merged by a heap.
 LONG_STRETCH = 64
 #: Stretches a worker keeps; the number changes the time only.
-STRETCHES = 300_000
+STRETCHES = 600_000
 
 
 class CharacterMap:
@@ -113,91 +118,108 @@ class Model:
         self.prefix = rules.add_dummy_prefix
         self.map = CharacterMap(rules.precompiled_charsmap)
         self.ids = {p.piece: i for i, p in enumerate(spec.pieces) if p.type == NORMAL}
-        self.scores = {p.piece: p.score for p in spec.pieces if p.type == NORMAL}
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(spec.pieces) if p.type == BYTE}
         self.unknown = next(i for i, p in enumerate(spec.pieces) if p.type == UNKNOWN)
         # Pieces hold the sign for a space at their start or nothing else: no merge passes one.
         self.apart = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        self._number_merges({p.piece: p.score for p in spec.pieces if p.type == NORMAL})
+        unknown_text = spec.trainer_spec.unk_surface or UNKNOWN_TEXT
         self.text_of: list[bytes | int] = []
         for p in spec.pieces:
-            if p.type == BYTE:
-                self.text_of.append(int(p.piece[1:-1], 16))
-            else:
-                text = {NORMAL: p.piece.replace(SPACE, " "), UNKNOWN: UNKNOWN_TEXT}.get(p.type, "")
-                self.text_of.append(text.encode())
-        self.unknown_text = spec.trainer_spec.unk_surface.encode() or UNKNOWN_TEXT.encode()
-        self.text_of[self.unknown] = self.unknown_text
-        self.is_byte = np.array([p.type == BYTE for p in spec.pieces])
-        self.is_control = np.array([p.type == CONTROL for p in spec.pieces])
-        self.is_normal = np.array([p.type == NORMAL for p in spec.pieces])
+            text = {NORMAL: p.piece.replace(SPACE, " "), UNKNOWN: unknown_text}.get(p.type, "")
+            self.text_of.append(int(p.piece[1:-1], 16) if p.type == BYTE else text.encode())
+        flat = [bytes([t]) if isinstance(t, int) else t for t in self.text_of]
+        self.size_of = [len(t) for t in flat]
+        # each piece's bytes, and again without the space that goes at the start of a text
+        self.flat = pa.array([*flat, *(t.removeprefix(b" ") for t in flat)], pa.binary())
+        kinds = np.array([p.type for p in spec.pieces])
+        self.is_byte, self.is_control, self.is_normal = (kinds == k for k in (BYTE, CONTROL, NORMAL))
+        self.pieces = [p.piece for p in spec.pieces]
         self.stretches = Cache(self._stretch, STRETCHES)
 
-    def _merged(self, text: list[str]) -> list[str]:
-        """The pieces: the best adjacent pair is merged first, the leftmost on a tie."""
-        if len(text) > LONG_STRETCH:
-            return self._merged_by_heap(text)
-        get = self.scores.get
-        never = -float("inf")
-        scores = [get(a + b, never) for a, b in zip(text, text[1:], strict=False)]
-        while scores:
-            best = max(scores)
-            if best == never:
+    def _number_merges(self, scores: dict[str, float]) -> None:
+        """Symbols as numbers, and for each pair that is a piece its rank by score and its number.
+
+        Symbols are the pieces and the single characters inside pieces; the best score has rank 0 and
+        equal scores share a rank.
+        """
+        self.symbols = dict(self.ids)
+        for character in sorted({c for piece in scores for c in piece}):
+            self.symbols.setdefault(character, len(self.symbols) + FIRST_CHARACTER)
+        ranks = {s: n for n, s in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.rank_of: dict[int, int] = {}
+        self.symbol_of: dict[int, int] = {}
+        for piece, score in scores.items():
+            for i in range(1, len(piece)):
+                left, right = self.symbols.get(piece[:i]), self.symbols.get(piece[i:])
+                if left is not None and right is not None:
+                    self.rank_of[left << SYMBOL_BITS | right] = ranks[score]
+                    self.symbol_of[left << SYMBOL_BITS | right] = self.ids[piece]
+
+    def _merged(self, symbols: list[int]) -> list[int]:
+        """The symbols left: the best adjacent pair is merged first, the leftmost on a tie."""
+        if len(symbols) > LONG_STRETCH:
+            return self._merged_by_heap(symbols)
+        get, merged = self.rank_of.get, self.symbol_of
+        ranks = [get(a << SYMBOL_BITS | b, NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
                 break
-            i = scores.index(best)
-            text[i] += text.pop(i + 1)
-            del scores[i]
+            i = ranks.index(best)
+            symbols[i] = new = merged[symbols[i] << SYMBOL_BITS | symbols.pop(i + 1)]
+            del ranks[i]
             if i:
-                scores[i - 1] = get(text[i - 1] + text[i], never)
-            if i < len(scores):
-                scores[i] = get(text[i] + text[i + 1], never)
-        return text
+                ranks[i - 1] = get(symbols[i - 1] << SYMBOL_BITS | new, NEVER)
+            if i < len(ranks):
+                ranks[i] = get(new << SYMBOL_BITS | symbols[i + 1], NEVER)
+        return symbols
 
-    def _merged_by_heap(self, text: list[str]) -> list[str]:
+    def _merged_by_heap(self, symbols: list[int]) -> list[int]:
         """The same for stretches of many characters, in n log n steps."""
-        n = len(text)
+        n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple] = []
+        heap: list[tuple[int, int, int]] = []
 
         def offer(i: int) -> None:
             if i >= 0 and after[i] < n:
-                pair = text[i] + text[after[i]]
-                if pair in self.scores:
-                    heappush(heap, (-self.scores[pair], i, pair))
+                pair = symbols[i] << SYMBOL_BITS | symbols[after[i]]
+                if pair in self.rank_of:
+                    heappush(heap, (self.rank_of[pair], i, pair))
 
         for i in range(n - 1):
             offer(i)
         while heap:
             _, i, pair = heappop(heap)
             j = after[i]
-            if not text[i] or j >= n or text[i] + text[j] != pair:
+            if symbols[i] < 0 or j >= n or symbols[i] << SYMBOL_BITS | symbols[j] != pair:
                 continue  # one of the two has changed since
-            text[i], text[j] = pair, ""
+            symbols[i], symbols[j] = self.symbol_of[pair], GONE
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
             offer(before[i])
             offer(i)
-        return [t for t in text if t]
+        return [s for s in symbols if s != GONE]
 
     def _stretch(self, stretch: str) -> tuple[bytes, bytes]:
         """The ids of a stretch and, for each, how many bytes of the source it stands for."""
-        if self.map.units:
-            characters = self.map.normalized(stretch)
-        else:
-            stretch = stretch.encode("utf-8", "replace").decode("utf-8")
-            characters = [(c, 1 if c < "\x80" else len(c.encode())) for c in stretch]
+        if not self.map.units and SPACE not in stretch and self.bytes:
+            return self._plain_stretch(stretch)
+        characters = self.map.normalized(stretch)
+        signs = [SPACE if c == " " else c for c, _ in characters]
+        known = [self.symbols.get(c, OTHER) for c in signs]
         ids: list[int] = []
         lengths: list[int] = []
         at = 0
-        for piece in self._merged([SPACE if c == " " else c for c, _ in characters]):
-            source = sum([s for _, s in characters[at : at + len(piece)]])
-            at += len(piece)
-            number = self.ids.get(piece)
-            if number is not None:
-                ids.append(number)
+        for symbol in self._merged(known):
+            size = len(self.pieces[symbol]) if symbol < FIRST_CHARACTER else 1
+            source = sum([s for _, s in characters[at : at + size]])
+            if symbol < FIRST_CHARACTER:
+                ids.append(symbol)
                 lengths.append(source)
             elif self.bytes:
-                raw = piece.encode()
+                raw = signs[at].encode()
                 ids.extend([self.bytes[b] for b in raw])
                 # a source of as many bytes gives each its own, any other goes to the last
                 lengths.extend([1] * len(raw) if source == len(raw) else [0] * (len(raw) - 1) + [source])
@@ -206,8 +228,25 @@ class Model:
             else:
                 ids.append(self.unknown)
                 lengths.append(source)
+            at += size
         return array("i", ids).tobytes(), array("i", lengths).tobytes()
 
+    def _plain_stretch(self, stretch: str) -> tuple[bytes, bytes]:
+        """The same where normalising changes nothing, so that pieces and source have equal sizes."""
+        signs = stretch.encode("utf-8", "replace").decode("utf-8").replace(" ", SPACE)
+        symbols = [self.symbols.get(c, OTHER) for c in signs]
+        if max(symbols) >= FIRST_CHARACTER:  # characters that are no pieces become bytes
+            others = iter([c for c, s in zip(signs, symbols, strict=True) if s >= FIRST_CHARACTER])
+            ids = []
+            for symbol in self._merged(symbols):
+                if symbol < FIRST_CHARACTER:
+                    ids.append(symbol)
+                else:
+                    ids.extend([self.bytes[b] for b in next(others).encode()])
+        else:
+            ids = self._merged(symbols)
+        return array("i", ids).tobytes(), array("i", [self.size_of[i] for i in ids]).tobytes()
+
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Ids and source lengths of a whole text, as 32-bit numbers."""
         if not text:
@@ -237,23 +276,49 @@ class Model:
             return ""
         if ((ids < 0) | (ids >= len(self.text_of))).any():
             raise IndexError("an id is not in the model")
-        parts = [self.text_of[i] for i in ids.tolist()]
         if self.is_byte[ids].any():
             out, run = [], bytearray()
-            for part in parts:
+            for part in map(self.text_of.__getitem__, ids.tolist()):
                 if isinstance(part, int):
                     run.append(part)
                     continue
                 out += [_repaired(bytes(run)), part]
                 run.clear()
-            parts = [*out, _repaired(bytes(run))]
-        text = b"".join(parts)
+            text = b"".join([*out, _repaired(bytes(run))])
+        else:
+            text = b"".join(map(self.text_of.__getitem__, ids.tolist()))
         first = ids[np.argmin(self.is_control[ids])]  # the first that is no control piece
         if self.prefix and self.is_normal[first]:
             text = text.removeprefix(b" ")
         return text.decode("utf-8")
 
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts of many lists of ids, given end to end; as :meth:`decode` gives each.
+
+        The bytes of all pieces are gathered at once. Lists that begin with a control piece, and all
+        lists where the bytes are no valid text, are decoded one by one.
+        """
+        starts = np.concatenate(([0], ends[:-1]))
+        first = ids[starts[starts < ends]]
+        if ((ids < 0) | (ids >= len(self.text_of))).any():
+            raise IndexError("an id is not in the model")
+        plain = not (self.is_control[first].any() or self.is_byte[first].any())
+        if plain:
+            places = ids.astype(np.int64)
+            places[starts[starts < ends]] += len(self.text_of) * (self.prefix & self.is_normal[first])
+            gathered = pc.take(self.flat, pa.array(places))
+            data = gathered.buffers()[2]
+            offsets = np.frombuffer(gathered.buffers()[1], np.int32)[np.concatenate(([0], ends))]
+            try:
+                str(memoryview(data) if data else b"", "utf-8")
+            except UnicodeDecodeError:
+                plain = False
+        if plain:
+            return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), data or pa.py_buffer(b""))
+        return pa.array([self.decode(x) for x in np.split(ids, ends[:-1])], pa.string())
+
+
 def _repaired(data: bytes) -> bytes:
     """Valid UTF-8 as it is, and U+FFFD for every byte that belongs to no character."""
     out, at = [], 0
@@ -319,10 +384,9 @@ def decode_pieces(encoded: DataFrame, file: str) -> DataFrame:
                 some = batch.slice(start, 500)
                 lists = some.column("ids")
                 values = lists.flatten().to_numpy()
-                ends = np.cumsum([n or 0 for n in lists.value_lengths().to_pylist()])
-                texts = [own.decode(ids) for ids in np.split(values, ends[:-1])]
+                ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), lists, pa.array(texts, pa.string())],
+                    [some.column("doc_id"), lists, own.decode_all(values, ends)],
                     names=["doc_id", "ids", "text"],
                 )
 
