@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fareloom.schema import TRIP_COLUMNS
 
@@ -25,7 +26,7 @@ def read_clean_trips(
 ) -> DataFrame:
     """Cleaned trips, optionally only the months ``since``..``until``, both (year, month) and kept.
 
-    The bounds become predicates on the partition columns, so other months are never listed or read.
+    The bounds become predicates on the partition columns, so the files of other months are not read.
     """
     trips = spark.read.parquet(path)
     if since is not None:
@@ -42,67 +43,82 @@ def _from_month(since: tuple[int, int]) -> Column:
     return (F.col("year") > year) | ((F.col("year") == year) & (F.col("month") >= month))
 
 
-def file_layouts(spark: SparkSession, root: str) -> DataFrame:
-    """``folder, path, layout`` of every Parquet file below ``root``; footers are read by tasks."""
+@dataclass(frozen=True)
+class ScanGroup:
+    """Folders and files that one scan can read: one set of partition folders, one set of types."""
 
-    # Local, so that it travels to the tasks by value and they need not have this package.
-    def layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs, parquet
+    keys: tuple[str, ...]
+    schema: StructType
+    paths: tuple[str, ...]
 
-        def layout(uri: str) -> str:
-            if uri.startswith("file:"):
-                store, name = fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-            else:
-                store, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-            footer = parquet.read_schema(name, filesystem=store)
-            return ", ".join(sorted(f"{column.name} {column.type}" for column in footer))
 
-        for batch in batches:
-            yield batch.assign(layout=batch["path"].map(layout))
+def _below(path: str, root: str) -> str:
+    """The part of a path below a root, however the scheme of either is written."""
+    bare = [re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", name) for name in (path, root)]
+    return bare[0].removeprefix(bare[1].rstrip("/")).lstrip("/")
 
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path")
-    )
-    # A scan plans about one task per large file; a footer is little work, so tasks take many files.
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    typed = files.coalesce(tasks).mapInPandas(layouts, "path string, layout string")
-    folder = F.regexp_replace("path", "/[^/]*$", "")
-    return typed.select(folder.alias("folder"), "path", "layout")
+
+def _merged(spark: SparkSession, root: str, paths: list[str]) -> StructType | None:
+    """The common schema out of all footers, which tasks read, or None if types differ."""
+    scan = spark.read.option("mergeSchema", True).option("basePath", root)
+    try:
+        return scan.parquet(*paths).schema
+    except Exception as error:  # an analysis error or a wrapped Java one, depending on the place
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        return None
 
 
-def scan_groups(spark: SparkSession, root: str) -> dict[str, list[str]]:
-    """What to scan together, by column types: whole folders, and files only where types mix.
+def scan_groups(spark: SparkSession, root: str) -> list[ScanGroup]:
+    """What to scan together, so that every file below ``root`` is read exactly once.
 
-    Types drift from one delivery to the next, so a month's folder has one layout and is named as a
-    whole however many files it holds. Files are named one by one only in a folder whose files
-    differ, or that has further folders below it.
+    Spark lists the files, all those it would read itself. A folder is named as a whole unless it has
+    folders below it; such a folder's own files are named one by one, apart from those in
+    ``key=value`` folders, as a scan that finds partition folders leaves other files out. Types
+    drift from one delivery to the next, so paths in order are tried together, and halved until
+    their types agree; a folder that disagrees in itself is opened into its files.
     """
-    files = file_layouts(spark, root)
-    folders = (
-        files.groupBy("folder")
-        .agg(F.min("layout").alias("layout"), F.max("layout").alias("other"))
-        .orderBy("folder")
-        .collect()
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        .select("path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
     )
-    parents = {row["folder"].rsplit("/", depth)[0] for row in folders for depth in range(1, 9)}
-    single = {
-        row["folder"]: row["layout"]
-        for row in folders
-        if row["layout"] == row["other"] and row["folder"] not in parents
-    }
-    mixed = [row["folder"] for row in folders if row["folder"] not in single]
-    sources = list(single.items())
-    if mixed:
-        named = files.filter(F.col("folder").isin(mixed)).select("path", "layout").orderBy("path")
-        sources += [tuple(row) for row in named.collect()]
-    groups: dict[str, list[str]] = {}
-    for path, layout in sources:
-        groups.setdefault(layout, []).append(path)
-    return groups
+    folders = sorted(row["folder"] for row in files.select("folder").distinct().collect())
+    parents = set()
+    for folder in folders:
+        steps = _below(folder, root).split("/")
+        parents.update(folder.rsplit("/", n)[0] for n in range(1, len(steps) + 1) if steps != [""])
+
+    def opened(names: list[str]) -> list[str]:
+        chosen = files.filter(F.col("folder").isin(names)).select("path").orderBy("path")
+        return [row["path"] for row in chosen.collect()] if names else []
+
+    alike: dict[tuple[str, ...], list[str]] = {}
+    whole = [name for name in folders if name not in parents]
+    for path in whole + opened([name for name in folders if name in parents]):
+        below = _below(path, root).split("/")
+        named = below if path in folders else below[:-1]
+        keys = tuple(step.split("=", 1)[0] for step in named if "=" in step)
+        alike.setdefault(keys, []).append(path)
+
+    groups: dict[tuple, ScanGroup] = {}
+    for keys, paths in alike.items():
+        waiting = [sorted(paths)]
+        while waiting:
+            some = waiting.pop()
+            schema = _merged(spark, root, some)
+            if schema is None and len(some) == 1:
+                inside = opened(some)
+                if not inside:
+                    raise ValueError(f"types differ within {some[0]}")
+                waiting.append(inside)
+            elif schema is None:
+                half = len(some) // 2
+                waiting += [some[:half], some[half:]]
+            else:
+                kinds = (keys, tuple(sorted((f.name, f.dataType.simpleString()) for f in schema)))
+                known = groups.get(kinds)
+                groups[kinds] = ScanGroup(keys, schema, (*(known.paths if known else ()), *some))
+    return list(groups.values())
 
 
 def read_trips_pinned(
@@ -112,7 +128,7 @@ def read_trips_pinned(
 
     Files are grouped by the types they carry; each group is scanned as it is (vectorised), cast to
     the pinned types, and the groups are united. Columns a group lacks become NULL. ``key=value``
-    folders below ``root`` add their partition columns.
+    folders below ``root`` add their partition columns, NULL for files outside of them.
     """
     columns = columns or TRIP_COLUMNS
     known = {name.lower() for name in columns}
@@ -120,23 +136,15 @@ def read_trips_pinned(
     if not groups:
         raise ValueError(f"no parquet files below {root}")
 
-    def pinned(paths: list[str]) -> DataFrame:
-        scan = spark.read.option("basePath", root).parquet(*paths)
+    def pinned(group: ScanGroup) -> DataFrame:
+        scan = spark.read.schema(group.schema).option("basePath", root).parquet(*group.paths)
         present = {name.lower() for name in scan.columns}
         wanted = [
             (F.col(name) if name.lower() in present else F.lit(None)).cast(kind).alias(name)
             for name, kind in columns.items()
         ]
-        partitions = [name for name in _partition_columns(paths[0], root) if name.lower() not in known]
-        return scan.select(*wanted, *partitions)
+        return scan.select(*wanted, *(key for key in group.keys if key.lower() not in known))
 
     return reduce(
-        lambda left, right: left.unionByName(right, allowMissingColumns=True),
-        map(pinned, groups.values()),
+        lambda left, right: left.unionByName(right, allowMissingColumns=True), map(pinned, groups)
     )
-
-
-def _partition_columns(path: str, root: str) -> list[str]:
-    """Names of the ``key=value`` folders between ``root`` and a folder or file below it."""
-    below = path.split(root.removeprefix("file:").rstrip("/"), 1)[-1]
-    return [part.split("=", 1)[0] for part in below.split("/") if "=" in part]

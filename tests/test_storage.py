@@ -99,7 +99,7 @@ class TestTripFiles:
         raw().write.parquet(str(tmp_path / "month=3"))
         short.write.mode("append").parquet(str(tmp_path / "month=3"))
         groups = scan_groups(spark, str(tmp_path))
-        named = {path.split("month=")[1][:2] for paths in groups.values() for path in paths}
+        named = {path.split("month=")[1][:2] for group in groups for path in group.paths}
         assert named == {"1", "2", "3/"} and len(groups) == 2
         trips = sources.read_trips_pinned(spark, str(tmp_path))
         counts = trips.groupBy("month").count().orderBy("month").collect()
@@ -110,6 +110,29 @@ class TestTripFiles:
         raw().write.parquet(str(tmp_path / "all" / "more" / "late"))
         assert sources.read_trips_pinned(spark, str(tmp_path / "all")).count() == 3
 
+    def test_no_file_is_lost(self, spark, raw, tmp_path):
+        """Without suffix, of mixed types in one folder, and beside partition folders."""
+        root = tmp_path / "trips"
+        short = raw({}, {}).withColumn("airport_fee", F.col("airport_fee").cast("int"))
+        raw({}, {}, {}).write.parquet(str(root / "year=2019"))
+        short.coalesce(1).write.mode("append").parquet(str(root / "year=2019"))
+        for file in list((root / "year=2019").glob("part-*")):
+            file.rename(file.with_suffix(""))
+        raw().coalesce(1).write.parquet(str(tmp_path / "one"))
+        short.coalesce(1).write.parquet(str(tmp_path / "two"))
+        for folder in ("one", "two"):
+            (file,) = (tmp_path / folder).glob("part-*.parquet")
+            file.rename(root / f"{folder}.parquet")
+        raw().write.parquet(str(root / "year=2020" / "deep" / "deeper"))
+        for start in (str(root), f"file://{root}", f"file:{root}/"):
+            counts = sources.read_trips_pinned(spark, start).groupBy("year").count().collect()
+            assert {r["year"]: r["count"] for r in counts} == {2019: 5, 2020: 1, None: 3}
+
+    def test_root_below_a_partition_folder(self, spark, raw, tmp_path):
+        raw().write.parquet(str(tmp_path / "region=x" / "year=2020"))
+        trips = sources.read_trips_pinned(spark, f"file://{tmp_path}/region=x")
+        assert trips.columns == [*TRIP_COLUMNS, "year"]
+
     def test_nothing_to_read(self, spark, tmp_path):
         with pytest.raises(ValueError, match="no parquet"):
             sources.read_trips_pinned(spark, str(tmp_path))
