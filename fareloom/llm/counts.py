@@ -15,8 +15,8 @@ SPACE = "▁"
 #: How far below the worst piece a character scores that no piece covers.
 UNKNOWN_PENALTY = 10.0
 #: Trie nodes and counts that a worker keeps; the numbers change the time only.
-NODES = 400_000
-COUNTS = 300_000
+NODES = 600_000
+COUNTS = 1_000_000
 
 
 class Trie:
@@ -30,7 +30,11 @@ class Trie:
 
     def __init__(self, scores: dict[str, float], nodes: int = NODES):
         self.scores, self.nodes = scores, nodes
-        self.longest = max(map(len, scores), default=1)
+        lengths: dict[str, set[int]] = {}
+        for piece in scores:
+            lengths.setdefault(piece[-2:], set()).add(len(piece))
+        #: By the last two characters, the lengths that pieces ending so have, the longest first.
+        self.lengths = {end: sorted(own, reverse=True) for end, own in lengths.items()}
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
         self.clear()
 
@@ -56,14 +60,16 @@ class Trie:
 
     def _forward(self, token: str, end: int, best: list[float], taken: list[int]) -> tuple[float, int]:
         score, count = None, 0
-        for start in range(max(0, end - self.longest), end):
-            piece = self.scores.get(token[start:end])
-            if piece is not None and (score is None or best[start] + piece > score):
-                score, count = best[start] + piece, taken[start] + 1
-        if token[end - 1] not in self.scores:
-            unknown = best[end - 1] + self.unknown
-            if score is None or unknown > score:
-                score, count = unknown, taken[end - 1] + len(token[end - 1].encode("utf-8", "replace"))
+        for length in self.lengths.get(token[end - 2 : end], ()) if end > 1 else ():
+            piece = self.scores.get(token[end - length : end]) if length <= end else None
+            if piece is not None and (score is None or best[end - length] + piece > score):
+                score, count = best[end - length] + piece, taken[end - length] + 1
+        character = token[end - 1]
+        single, tokens = self.scores.get(character), 1
+        if single is None:
+            single, tokens = self.unknown, len(character.encode("utf-8", "replace"))
+        if score is None or best[end - 1] + single > score:
+            score, count = best[end - 1] + single, taken[end - 1] + tokens
         return score, count
 
 
