@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from fareloom.operators import demand
 from fareloom.operators.weather import categorize_weather
-from fareloom.plans.measures import trip_summary
+from fareloom.plans.measures import TripSummary, trip_summary
 from fareloom.session import session
 from fareloom.sinks import write_csv, write_results
 from fareloom.sources import read_clean_trips, read_result, read_weather
@@ -30,8 +30,8 @@ def run(trips: DataFrame, weather: DataFrame, output: str) -> dict[str, DataFram
     zones. The summary is written first, so that losing an executor later costs no new scan.
     """
     spark = trips.sparkSession
-    write_results({"trip_summary": trip_summary(trips)}, output)
-    summary = read_result(spark, output, "trip_summary")
+    write_results({"trip_summary": trip_summary(trips).table}, output)
+    summary = TripSummary(read_result(spark, output, "trip_summary"))
     results = {
         "q1_hourly_demand": demand.hourly_demand(summary),
         "q2_zone_revenue": demand.zone_revenue(trips),

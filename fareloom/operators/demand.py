@@ -12,25 +12,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.functions import expressions as X
-from fareloom.plans.measures import is_summary, mean, preaggregate, total, trip_count
+from fareloom.plans.measures import Trips, TripSummary, mean, preaggregate, rows_of, total, trip_count
 from fareloom.schema import WEATHER_CONDITIONS, WEEKEND
 
 
 def hourly_demand(
-    trips: DataFrame, hour: str = "pickup_hour", weekday: str = "day_of_week"
+    trips: Trips, hour: str = "pickup_hour", weekday: str = "day_of_week"
 ) -> DataFrame:
     """Trips by hour and weekday."""
     return (
-        trips.groupBy(hour, weekday)
+        rows_of(trips).groupBy(hour, weekday)
         .agg(trip_count(trips).alias("trip_count"))
         .orderBy(weekday, hour)
     )
 
 
-def zone_revenue(trips: DataFrame, zone: str = "PULocationID") -> DataFrame:
+def zone_revenue(trips: Trips, zone: str = "PULocationID") -> DataFrame:
     """Fares and trips by pickup zone, highest revenue first."""
     return (
-        trips.groupBy(zone)
+        rows_of(trips).groupBy(zone)
         .agg(
             X.to_cents(total(trips, "fare")).alias("total_revenue"),
             X.to_cents(mean(trips, "fare")).alias("avg_fare"),
@@ -40,17 +40,17 @@ def zone_revenue(trips: DataFrame, zone: str = "PULocationID") -> DataFrame:
     )
 
 
-def top_zone_revenue(trips: DataFrame, zones: int = 20, zone: str = "PULocationID") -> DataFrame:
+def top_zone_revenue(trips: Trips, zones: int = 20, zone: str = "PULocationID") -> DataFrame:
     """The zones with the highest revenue; each task keeps only its own best rows."""
     return zone_revenue(trips, zone).limit(zones)
 
 
-def distance_profile(trips: DataFrame, bucket: str = "distance_bucket") -> DataFrame:
+def distance_profile(trips: Trips, bucket: str = "distance_bucket") -> DataFrame:
     """Tipping and price by distance bucket in one pass.
 
     Reports that select from it pay only for the columns they take.
     """
-    return trips.groupBy(bucket).agg(
+    return rows_of(trips).groupBy(bucket).agg(
         X.to_cents(mean(trips, "tip_pct")).alias("avg_tip_pct"),
         X.to_cents(mean(trips, "tip")).alias("avg_tip_amount"),
         X.to_cents(mean(trips, "fare_per_mile")).alias("avg_fare_per_mile"),
@@ -60,7 +60,7 @@ def distance_profile(trips: DataFrame, bucket: str = "distance_bucket") -> DataF
     )
 
 
-def tipping_by_distance(trips: DataFrame, bucket: str = "distance_bucket") -> DataFrame:
+def tipping_by_distance(trips: Trips, bucket: str = "distance_bucket") -> DataFrame:
     """Average tip share (the mean of each trip's share) and tip by distance bucket.
 
     Free trips have no tip share; they still count as trips.
@@ -72,7 +72,7 @@ def tipping_by_distance(trips: DataFrame, bucket: str = "distance_bucket") -> Da
     )
 
 
-def fare_per_mile(trips: DataFrame, bucket: str = "distance_bucket") -> DataFrame:
+def fare_per_mile(trips: Trips, bucket: str = "distance_bucket") -> DataFrame:
     """Average price per mile by distance bucket."""
     return (
         distance_profile(trips, bucket)
@@ -81,9 +81,9 @@ def fare_per_mile(trips: DataFrame, bucket: str = "distance_bucket") -> DataFram
     )
 
 
-def _per_day(trips: DataFrame, pickup_date: str) -> DataFrame:
+def _per_day(trips: Trips, pickup_date: str) -> TripSummary:
     """Trips reduced to one row per date before they meet the weather."""
-    if is_summary(trips):
+    if isinstance(trips, TripSummary):
         return trips
     return preaggregate(trips, [pickup_date], only=("fare", "distance"))
 
@@ -105,7 +105,7 @@ def _days(weather: DataFrame, day: str, conditions: Sequence[str]) -> DataFrame:
 
 
 def demand_by_weather(
-    trips: DataFrame,
+    trips: Trips,
     weather: DataFrame,
     pickup_date: str = "pickup_date",
     day: str = "DATE",
@@ -121,7 +121,7 @@ def demand_by_weather(
     daily = _per_day(trips, pickup_date)
     days = _days(weather, day, conditions)
     return (
-        daily.join(days, daily[pickup_date] == days[day])
+        daily.table.join(days, daily.table[pickup_date] == days[day])
         .groupBy("weather_condition")
         .agg(
             trip_count(daily).alias("trip_count"),
@@ -133,11 +133,11 @@ def demand_by_weather(
 
 
 def unmatched_trips(
-    trips: DataFrame, weather: DataFrame, pickup_date: str = "pickup_date", day: str = "DATE"
+    trips: Trips, weather: DataFrame, pickup_date: str = "pickup_date", day: str = "DATE"
 ) -> DataFrame:
     """How many trips ``demand_by_weather`` leaves out because their day has no reading."""
     daily = _per_day(trips, pickup_date)
-    missing = daily.join(weather, daily[pickup_date] == weather[day], "left_anti")
+    missing = daily.table.join(weather, daily.table[pickup_date] == weather[day], "left_anti")
     return missing.agg(F.coalesce(trip_count(daily), F.lit(0)).alias("unmatched_trips"))
 
 
@@ -148,9 +148,9 @@ def weather_share(by_weather: DataFrame) -> DataFrame:
     return by_weather.withColumn("share_pct", share)
 
 
-def headline(trips: DataFrame) -> DataFrame:
+def headline(trips: Trips) -> DataFrame:
     """Trips, revenue and average fare overall."""
-    return trips.agg(
+    return rows_of(trips).agg(
         trip_count(trips).alias("trip_count"),
         X.to_cents(total(trips, "fare")).alias("total_revenue"),
         X.to_cents(mean(trips, "fare")).alias("avg_fare"),

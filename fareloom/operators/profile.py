@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from fareloom.functions import expressions as X
 from fareloom.schema import PAYMENT_FLAGS, CleaningRules
-from fareloom.session import written
 
 RULES = CleaningRules()
 DESCRIBED = ("trip_distance", "fare_amount", "tip_amount", "passenger_count")
@@ -116,41 +115,35 @@ def audit_cleaning(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     )
 
 
-def exact_median(table: DataFrame, column: str) -> DataFrame:
+def exact_median(table: DataFrame, column: str, accuracy: int = 100_000) -> DataFrame:
     """The median of a column in one row, without gathering its values anywhere.
 
-    Values are counted where they are, ordered over many partitions and written out with the number
-    of their partition. Counts per partition tell which one or two of them hold the middle; only
-    those are searched. NULL and NaN do not take part.
+    A sketch of known rank error gives two values that have the middle between them. Values outside
+    are only counted; those inside are counted by value, and as the sketch's error bounds how many
+    rows they are, ordering them is little work. Both passes are lazy: nothing runs before the result
+    is asked for. NULL and NaN do not take part.
     """
-    value = F.col(column).cast("double").alias("value")
+    values = table.select(F.col(column).cast("double").alias("value")).filter(
+        F.col("value").isNotNull() & ~F.isnan("value")
+    )
+    # The sketch is off by at most 1 / accuracy of the rows at either end.
+    shares = F.array(F.lit(0.5 - 2 / accuracy), F.lit(0.5 + 2 / accuracy))
+    ends = values.agg(F.percentile_approx("value", shares, accuracy).alias("ends")).scalar()
+    side = F.when(F.col("value") < F.col("ends")[0], -1).when(F.col("value") > F.col("ends")[1], 1)
     counts = (
-        table.select(value)
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("value")
+        values.withColumn("ends", ends)
+        .select(side.otherwise(0).alias("side"), "value")
+        .groupBy("side", F.when(F.col("side") == 0, F.col("value")).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    spread_out = counts.repartitionByRange("value").withColumn("part", F.spark_partition_id())
-    ordered = written(spread_out, "median")
-    parts = ordered.groupBy("part").agg(F.sum("n").alias("part_n"))
-    everything = F.sum("part_n").over(Window.partitionBy())
-    middle = (
-        parts.select(
-            "part",
-            (F.sum("part_n").over(Window.orderBy("part")) - F.col("part_n")).alias("before"),
-            "part_n",
-            F.floor((everything - 1) / 2).alias("low"),
-            F.floor(everything / 2).alias("high"),
-        )
-        .filter("before <= high AND before + part_n > low")
-        .drop("part_n")
-    )
-    within = Window.partitionBy("part").orderBy("value")
-    reached = F.col("before") + F.sum("n").over(within)
-    # At most two rows: the two middle positions are next to each other.
-    searched = ordered.join(F.broadcast(middle), "part").withColumn("reached", reached)
-    ends = [F.min(F.when(F.col("reached") > F.col(end), F.col("value"))) for end in ("low", "high")]
-    return searched.agg(((ends[0] + ends[1]) / 2).alias("median"))
+    ordered = Window.orderBy("side", "value")
+    rows = F.sum("n").over(Window.partitionBy())
+    reached = counts.select("value", F.sum("n").over(ordered).alias("reached"), rows.alias("rows"))
+    middle = [
+        F.min(F.when(F.col("reached") > F.floor(place), F.struct("reached", "value")))["value"]
+        for place in ((F.col("rows") - 1) / 2, F.col("rows") / 2)
+    ]
+    return reached.agg(((middle[0] + middle[1]) / 2).alias("median"))
 
 
 def data_facts(raw: DataFrame, near: float = 3.0, median_accuracy: int | None = None) -> DataFrame:

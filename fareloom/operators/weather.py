@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions import expressions as X
-from fareloom.plans.joins import small_side
+from fareloom.session import written
 
 
 def categorize_weather(weather: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def join_weather(
 ) -> DataFrame:
     """Every trip with the reading of its day; trips without one are dropped.
 
-    The days are broadcast when there are few of them, so trips stay where they are.
+    The days are written once. From the size of that table the planner decides whether to broadcast
+    it; else both sides are shuffled, and adaptive execution splits a day that many trips share.
     """
-    days = small_side(one_row_per_day(weather, day))
+    days = written(one_row_per_day(weather, day), "days")
     return trips.join(days, trips[pickup_date] == days[day])

@@ -9,6 +9,7 @@ other. The reports of ``operators.demand`` accept either trips or such a summary
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,35 +32,46 @@ def measures() -> dict[str, Column]:
     }
 
 
+@dataclass(frozen=True)
+class TripSummary:
+    """A table with ``trips``, ``<measure>_sum`` and ``<measure>_n`` per combination of keys."""
+
+    table: DataFrame
+
+
+Trips = DataFrame | TripSummary
+
+
 def preaggregate(
     trips: DataFrame, keys: Sequence[str], only: Sequence[str] | None = None
-) -> DataFrame:
-    """``trips``, ``<measure>_sum`` and ``<measure>_n`` per combination of keys."""
+) -> TripSummary:
+    """Trips reduced to one row per combination of keys, for all measures or ``only`` some."""
     parts = [F.count(F.lit(1)).alias("trips")]
     for name, value in measures().items():
         if only is None or name in only:
             parts += [F.sum(value).alias(f"{name}_sum"), F.count(value).alias(f"{name}_n")]
-    return trips.groupBy(*keys).agg(*parts)
+    return TripSummary(trips.groupBy(*keys).agg(*parts))
 
 
-def trip_summary(trips: DataFrame) -> DataFrame:
+def trip_summary(trips: DataFrame) -> TripSummary:
     """One scan of the trips that serves all reports but the ones by zone."""
     return preaggregate(trips, SUMMARY_KEYS)
 
 
-def is_summary(table: DataFrame) -> bool:
-    return "trips" in table.columns and any(name.endswith("_sum") for name in table.columns)
+def rows_of(source: Trips) -> DataFrame:
+    return source.table if isinstance(source, TripSummary) else source
 
 
-def trip_count(table: DataFrame) -> Column:
-    return F.sum("trips") if is_summary(table) else F.count(F.lit(1))
+def trip_count(source: Trips) -> Column:
+    return F.sum("trips") if isinstance(source, TripSummary) else F.count(F.lit(1))
 
 
-def total(table: DataFrame, measure: str) -> Column:
-    return F.sum(f"{measure}_sum") if is_summary(table) else F.sum(measures()[measure])
+def total(source: Trips, measure: str) -> Column:
+    summed = isinstance(source, TripSummary)
+    return F.sum(f"{measure}_sum") if summed else F.sum(measures()[measure])
 
 
-def mean(table: DataFrame, measure: str) -> Column:
-    if is_summary(table):
+def mean(source: Trips, measure: str) -> Column:
+    if isinstance(source, TripSummary):
         return F.try_divide(F.sum(f"{measure}_sum"), F.sum(f"{measure}_n"))
     return F.avg(measures()[measure])

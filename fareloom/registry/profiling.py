@@ -23,6 +23,10 @@ def _clean(operator, *args):
     return lambda spark, folder: operator(T.clean(spark, folder), *args)
 
 
+def _sorted(operator):
+    return lambda spark, folder: T.in_order(operator(T.clean(spark, folder)))
+
+
 def _weather(operator):
     return lambda spark, folder: operator(T.clean(spark, folder), T.weather_days(spark, folder))
 
@@ -131,10 +135,12 @@ ENTRIES = {
         ),
     ),
     "hourly_demand": Entry(
-        _clean(D.hourly_demand), S.query("SELECT * FROM hourly", S.CLEAN, S.HOURLY)
+        _sorted(D.hourly_demand),
+        S.query(S.ordered("hourly", "day_of_week", "pickup_hour"), S.CLEAN, S.HOURLY),
     ),
     "zone_revenue": Entry(
-        _clean(D.zone_revenue), S.query("SELECT * FROM revenue", S.CLEAN, S.REVENUE)
+        _sorted(D.zone_revenue),
+        S.query(S.ordered("revenue", "total_revenue DESC", "PULocationID"), S.CLEAN, S.REVENUE),
     ),
     "zone_revenue_top20": Entry(
         _clean(D.top_zone_revenue),
@@ -145,10 +151,12 @@ ENTRIES = {
         ),
     ),
     "tipping_by_distance": Entry(
-        _clean(D.tipping_by_distance), S.query("SELECT * FROM tipping", S.CLEAN, S.TIPPING)
+        _sorted(D.tipping_by_distance),
+        S.query(S.ordered("tipping", "distance_bucket"), S.CLEAN, S.TIPPING),
     ),
     "fare_per_mile": Entry(
-        _clean(D.fare_per_mile), S.query("SELECT * FROM price", S.CLEAN, S.PRICE)
+        _sorted(D.fare_per_mile),
+        S.query(S.ordered("price", "distance_bucket"), S.CLEAN, S.PRICE),
     ),
     "distance_profile": Entry(
         _clean(D.distance_profile),
@@ -161,8 +169,8 @@ ENTRIES = {
         ),
     ),
     "demand_by_weather": Entry(
-        _weather(D.demand_by_weather),
-        S.query("SELECT * FROM by_weather", S.CLEAN, S.WEATHER, S.BY_WEATHER),
+        lambda spark, folder: T.in_order(_weather(D.demand_by_weather)(spark, folder)),
+        S.query(S.ordered("by_weather", "weather_condition"), S.CLEAN, S.WEATHER, S.BY_WEATHER),
     ),
     "weather_share": Entry(
         lambda spark, folder: D.weather_share(

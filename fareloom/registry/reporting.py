@@ -37,11 +37,11 @@ _NAMES = "['Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Sa
 
 ENTRIES = {
     "bucket_order": Entry(
-        lambda spark, folder: R.order_distance_buckets(
-            D.tipping_by_distance(T.clean(spark, folder))
+        lambda spark, folder: T.in_order(
+            R.order_distance_buckets(D.tipping_by_distance(T.clean(spark, folder)))
         ),
         S.query(
-            """SELECT * FROM tipping WHERE distance_bucket IN ('short', 'medium', 'long')""",
+            S.ordered("tipping", "list_position(['short', 'medium', 'long'], distance_bucket)"),
             S.CLEAN,
             S.TIPPING,
         ),
@@ -51,9 +51,9 @@ ENTRIES = {
         S.query(f"SELECT *, {_NAMES}[day_of_week] AS day_name FROM hourly", S.CLEAN, S.HOURLY),
     ),
     "hourly_matrix": Entry(
-        lambda spark, folder: R.hourly_matrix(_hourly(spark, folder)),
+        lambda spark, folder: T.in_order(R.hourly_matrix(_hourly(spark, folder))),
         S.query(
-            "SELECT day_name, "
+            "SELECT day_name, any_value(i) AS position, "
             + ", ".join(
                 f'CAST(sum(trip_count) FILTER (pickup_hour = {hour}) AS BIGINT) AS "{hour}"'
                 for hour in range(24)
@@ -76,9 +76,10 @@ ENTRIES = {
         ),
     ),
     "zones_named": Entry(
-        _zone_report(R.zones_named),
+        lambda spark, folder: T.in_order(_zone_report(R.zones_named)(spark, folder)),
         S.query(
-            """SELECT revenue.*, Zone, Borough
+            """SELECT revenue.*, Zone, Borough,
+            row_number() OVER (ORDER BY total_revenue DESC, PULocationID) AS position
             FROM revenue LEFT JOIN zones ON PULocationID = LocationID""",
             S.CLEAN,
             S.REVENUE,
@@ -86,8 +87,8 @@ ENTRIES = {
         ),
     ),
     "zone_labels": Entry(
-        lambda spark, folder: R.zone_labels(T.zones(spark, folder)),
-        S.query("SELECT * FROM labels", S.ZONES),
+        lambda spark, folder: T.in_order(R.zone_labels(T.zones(spark, folder))),
+        S.query(S.ordered("labels", "label", "LocationID"), S.ZONES),
     ),
     "rmse_r2": Entry(
         lambda spark, folder: _rounded(plain_metrics(spark, folder)),

@@ -215,6 +215,11 @@ metrics AS (
 )"""
 
 
+def ordered(table: str, *keys: str) -> str:
+    """All of a table with each row's place in an order."""
+    return f"SELECT *, row_number() OVER (ORDER BY {', '.join(keys)}) AS position FROM {table}"
+
+
 def query(select: str, *tables: str) -> str:
     """A statement over the given common table expressions."""
     return f"WITH {', '.join(part.strip() for part in tables)} {select.strip()}"

@@ -68,6 +68,11 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
     return clean_trips(raw_trips(spark, folder))
 
 
+def in_order(report: DataFrame) -> DataFrame:
+    """A sorted report with each row's ``position``, so that a comparison of rows sees the order."""
+    return report.coalesce(1).withColumn("position", F.monotonically_increasing_id() + 1)
+
+
 def with_months(trips: DataFrame) -> DataFrame:
     pickup = "tpep_pickup_datetime"
     return trips.withColumns({"year": F.year(pickup), "month": F.month(pickup)})

@@ -32,7 +32,7 @@ def _joined(spark, folder):
 
 
 def _report(operator):
-    return lambda spark, folder: operator(_joined(spark, folder))
+    return lambda spark, folder: operator(T.clean(spark, folder), _banded(spark, folder))
 
 
 ENTRIES = {
@@ -109,8 +109,15 @@ ENTRIES = {
         _report(G.zone_weather_sensitivity),
         S.query(
             """SELECT PULocationID,
-            CASE WHEN prcp_bucket <> 'dry' THEN 'rainy' ELSE 'dry' END AS weather_type,
-            count(*) AS trip_count FROM joined GROUP BY ALL""",
+            count(*) FILTER (prcp_bucket <> 'dry') AS rainy_trips,
+            count(*) FILTER (prcp_bucket = 'dry') AS dry_trips,
+            round(count(*) FILTER (prcp_bucket <> 'dry') / any_value(rainy_days), 4) AS rainy_per_day,
+            round(count(*) FILTER (prcp_bucket = 'dry') / any_value(dry_days), 4) AS dry_per_day,
+            round(count(*) FILTER (prcp_bucket <> 'dry') / any_value(rainy_days)
+              - count(*) FILTER (prcp_bucket = 'dry') / any_value(dry_days), 4) AS rain_delta
+            FROM joined, (SELECT count(DISTINCT pickup_date) FILTER (prcp_bucket <> 'dry') AS rainy_days,
+              count(DISTINCT pickup_date) FILTER (prcp_bucket = 'dry') AS dry_days FROM joined)
+            GROUP BY PULocationID""",
             S.CLEAN,
             S.SUMMARY,
             S.JOINED,

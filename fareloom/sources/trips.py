@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -43,6 +44,10 @@ def _from_month(since: tuple[int, int]) -> Column:
     return (F.col("year") > year) | ((F.col("year") == year) & (F.col("month") >= month))
 
 
+#: Footers that the driver asks for at a time; each is a small job.
+FOOTERS_AT_ONCE = 16
+
+
 @dataclass(frozen=True)
 class ScanGroup:
     """Folders and files that one scan can read: one set of partition folders, one set of types."""
@@ -52,6 +57,10 @@ class ScanGroup:
     paths: tuple[str, ...]
 
 
+def _kinds(schema: StructType) -> tuple:
+    return tuple(sorted((field.name, field.dataType.simpleString()) for field in schema))
+
+
 def _below(path: str, root: str) -> str:
     """The part of a path below a root, however the scheme of either is written."""
     bare = [re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", name) for name in (path, root)]
@@ -74,9 +83,10 @@ def scan_groups(spark: SparkSession, root: str) -> list[ScanGroup]:
 
     Spark lists the files, all those it would read itself. A folder is named as a whole unless it has
     folders below it; such a folder's own files are named one by one, apart from those in
-    ``key=value`` folders, as a scan that finds partition folders leaves other files out. Types
-    drift from one delivery to the next, so paths in order are tried together, and halved until
-    their types agree; a folder that disagrees in itself is opened into its files.
+    ``key=value`` folders, as a scan that finds partition folders leaves other files out. One footer
+    of each path tells which paths to try together. Then tasks read all footers of a group; one whose
+    types differ after all is halved until they agree, and a folder that disagrees in itself is
+    opened into its files.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
@@ -100,9 +110,16 @@ def scan_groups(spark: SparkSession, root: str) -> list[ScanGroup]:
         keys = tuple(step.split("=", 1)[0] for step in named if "=" in step)
         alike.setdefault(keys, []).append(path)
 
+    def first_kinds(path: str) -> tuple:
+        return _kinds(spark.read.option("basePath", root).parquet(path).schema)
+
     groups: dict[tuple, ScanGroup] = {}
     for keys, paths in alike.items():
-        waiting = [sorted(paths)]
+        by_kinds: dict[tuple, list[str]] = {}
+        with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+            for path, kinds in zip(sorted(paths), pool.map(first_kinds, sorted(paths)), strict=True):
+                by_kinds.setdefault(kinds, []).append(path)
+        waiting = list(by_kinds.values())
         while waiting:
             some = waiting.pop()
             schema = _merged(spark, root, some)
@@ -115,9 +132,8 @@ def scan_groups(spark: SparkSession, root: str) -> list[ScanGroup]:
                 half = len(some) // 2
                 waiting += [some[:half], some[half:]]
             else:
-                kinds = (keys, tuple(sorted((f.name, f.dataType.simpleString()) for f in schema)))
-                known = groups.get(kinds)
-                groups[kinds] = ScanGroup(keys, schema, (*(known.paths if known else ()), *some))
+                known = groups.get((keys, _kinds(schema)))
+                groups[keys, _kinds(schema)] = ScanGroup(keys, schema, (*(known.paths if known else ()), *some))
     return list(groups.values())
 
 

@@ -12,7 +12,6 @@ from fareloom.operators.weather import (
     repeated_days,
 )
 from fareloom.plans import measures
-from fareloom.plans.joins import small_side
 
 JAN = [datetime.date(2022, 1, day) for day in range(32) if day]
 
@@ -164,19 +163,7 @@ class TestJoinWeather:
         assert [r["weather_condition"] for r in joined.collect()] == ["rain", "rain"]
         assert "BroadcastHashJoin" in final_plan_of(joined)
 
-    def test_large_side_is_not_broadcast(self, spark):
-        def hinted(most_bytes):
-            side = small_side(spark.range(100), most_bytes)
-            assert side.count() == 100
-            return "ResolvedHint" in side._jdf.queryExecution().toString()
-
-        assert hinted(10_000) and not hinted(100)
-        assert small_side(spark.range(0)).count() == 0
-
-    def test_join_beyond_the_bound_splits_a_hot_day(self, spark, clean, readings, monkeypatch):
-        from fareloom.plans import joins
-
-        monkeypatch.setattr(joins.small_side, "__defaults__", (0,))
+    def test_join_beyond_the_threshold_splits_a_hot_day(self, spark, clean, readings):
         changed = {
             "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

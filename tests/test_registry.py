@@ -23,7 +23,7 @@ def test_equals_sql(spark, engine, name):
 
 def test_contract(spark):
     assert contract.entry(spark).columns == [
-        "weather_condition", "trip_count", "avg_fare", "avg_distance",
+        "weather_condition", "trip_count", "avg_fare", "avg_distance", "position",
     ]
     assert set(contract.oracle_sql()) < set(contract.queries())
 
@@ -39,6 +39,3 @@ def test_counts_add_up(spark):
     assert total("demand_by_weather") + total("unmatched_weather", "unmatched_trips") == trips
 
 
-def test_random_split_counts_add_up(spark):
-    parts = ALL["random_split"].build(spark, FOLDER).collect()
-    assert sum(row["rows"] for row in parts) == T.clean(spark, FOLDER).count()
