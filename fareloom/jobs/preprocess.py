@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
 from fareloom.operators.clean import clean_trips
-from fareloom.operators.profile import row_count
 from fareloom.session import session
 from fareloom.sinks import preview, write_trips
 from fareloom.sources import read_clean_trips, read_trips, read_trips_pinned
@@ -24,6 +26,12 @@ SHOWN = (
 )
 
 
+def counted_rows(trips: DataFrame) -> tuple[DataFrame, Observation]:
+    """The trips, and their number as the job that reads them finds it."""
+    seen = Observation()
+    return trips.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("trips", help="raw trip Parquet")
@@ -36,14 +44,12 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = session("fareloom-preprocess")
     read = read_trips_pinned if args.pinned else read_trips
-    clean = clean_trips(
-        read(spark, args.trips), keep_nan_distance=not args.reject_nan_distance
-    )
+    raw, known = counted_rows(read(spark, args.trips))
+    clean = clean_trips(raw, keep_nan_distance=not args.reject_nan_distance)
+    clean, kept = counted_rows(clean)
     write_trips(clean, args.output, args.partition_by, args.rebalance, args.only_touched)
-    # Counted on the written table: its footers hold the row counts, so nothing is computed again.
-    written = read_clean_trips(spark, args.output)
-    row_count(written).show()
-    preview(written, 5, SHOWN).show()
+    print("raw_rows", known.get["rows"], "clean_rows", kept.get["rows"], "dropped_rows", known.get["rows"] - kept.get["rows"])
+    preview(read_clean_trips(spark, args.output), 5, SHOWN).show()
 
 
 if __name__ == "__main__":

@@ -6,45 +6,61 @@ report leaves out trips without a fare, and the price report leaves out trips wi
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
-_BUCKET = """
-    CASE WHEN trip_distance < 1 THEN 'short'
-         WHEN trip_distance <= 10 THEN 'medium'
-         ELSE 'long' END AS distance_bucket"""
-
-REPORTS = {
-    "hourly_demand": """
-        SELECT hour(tpep_pickup_datetime) AS pickup_hour,
-               extract(DAYOFWEEK_ISO FROM tpep_pickup_datetime) AS day_of_week,
-               count(*) AS trip_count
-        FROM {trips} GROUP BY 1, 2 ORDER BY 1, 2""",
-    "zone_revenue": """
-        SELECT PULocationID,
-               round(sum(fare_amount), 2) AS total_revenue,
-               round(avg(fare_amount), 2) AS avg_fare,
-               count(*) AS trip_count
-        FROM {trips} GROUP BY PULocationID
-        ORDER BY total_revenue DESC, PULocationID LIMIT 20""",
-    "tipping": f"""
-        SELECT {_BUCKET},
-               round(avg(tip_amount / fare_amount * 100), 2) AS avg_tip_pct,
-               round(avg(tip_amount), 2) AS avg_tip_amount,
-               count(*) AS trip_count
-        FROM {{trips}} WHERE fare_amount > 0 GROUP BY 1 ORDER BY 1""",
-    "fare_per_mile": f"""
-        SELECT {_BUCKET},
-               round(avg(fare_amount / trip_distance), 2) AS avg_fare_per_mile,
-               round(avg(fare_amount), 2) AS avg_fare,
-               round(avg(trip_distance), 2) AS avg_distance,
-               count(*) AS trip_count
-        FROM {{trips}} WHERE trip_distance > 0 GROUP BY 1 ORDER BY 1""",
+from fareloom.schema import CleaningRules
+
+#: What is averaged, by the name of the average.
+AVERAGES = {
+    "avg_fare": "fare_amount",
+    "avg_distance": "trip_distance",
+    "avg_tip_amount": "tip_amount",
+    "avg_tip_pct": "tip_amount / fare_amount * 100",
+    "avg_fare_per_mile": "fare_amount / trip_distance",
 }
 
 
-def sql_report(name: str, trips: DataFrame) -> DataFrame:
+def _statement(
+    keys: dict[str, str], averages: Sequence[str] = (), sums: dict[str, str] | None = None,
+    where: str = "true", order: Sequence[str] = (), top: int | None = None,
+) -> str:
+    """Count and summarise trips by keys, each an expression under its name."""
+    shown = [f"{expression} AS {name}" for name, expression in keys.items()]
+    shown += [f"round(sum({column}), 2) AS {name}" for name, column in (sums or {}).items()]
+    shown += [f"round(avg({AVERAGES[name]}), 2) AS {name}" for name in averages]
+    grouped = ", ".join(str(place) for place in range(1, len(keys) + 1))
+    return (
+        f"SELECT {', '.join(shown)}, count(*) AS trip_count FROM {{trips}} WHERE {where} "
+        f"GROUP BY {grouped} ORDER BY {', '.join(order or keys)}" + (f" LIMIT {top}" if top else "")
+    )
+
+
+def statements(rules: CleaningRules = CleaningRules(), top: int = 20) -> dict[str, str]:
+    """The four reports by name, with bucket edges of the cleaning rules."""
+    bucket = {
+        "distance_bucket": f"CASE WHEN trip_distance < {rules.short_below} THEN 'short' "
+        f"WHEN trip_distance <= {rules.medium_up_to} THEN 'medium' ELSE 'long' END"
+    }
+    pickup = "tpep_pickup_datetime"
+    clock = {"pickup_hour": f"hour({pickup})", "day_of_week": f"extract(DAYOFWEEK_ISO FROM {pickup})"}
+    return {
+        "hourly_demand": _statement(clock),
+        "zone_revenue": _statement(
+            {"PULocationID": "PULocationID"}, ("avg_fare",), {"total_revenue": "fare_amount"},
+            order=("total_revenue DESC", "PULocationID"), top=top,
+        ),
+        "tipping": _statement(bucket, ("avg_tip_pct", "avg_tip_amount"), where="fare_amount > 0"),
+        "fare_per_mile": _statement(
+            bucket, ("avg_fare_per_mile", "avg_fare", "avg_distance"), where="trip_distance > 0"
+        ),
+    }
+
+
+def sql_report(name: str, trips: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """Run one report over a trip table, raw or clean."""
-    return trips.sparkSession.sql(REPORTS[name], trips=trips)
+    return trips.sparkSession.sql(statements(rules)[name], trips=trips)
 
 
 def register_views(spark: SparkSession, raw: DataFrame, clean: DataFrame) -> None:
