@@ -32,7 +32,7 @@ OTHER, GONE, NEVER = (1 << 26) - 1, -1, 1 << 30
 #: Characters from which a stretch is merged by a heap.
 LONG_STRETCH = 64
 #: Stretches a worker keeps; the number changes the time only.
-STRETCHES = 600_000
+STRETCHES = 900_000
 
 
 class CharacterMap:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from fareloom.llm.batches import chunks, one_row_per
 
-#: Parts a worker keeps; the number changes the time only.
+#: Parts a worker keeps, in two generations; the number changes the time only.
 PARTS = 1_500_000
 
 
@@ -31,17 +31,22 @@ def encoder(tokenizer: str) -> Callable[[str | None], bytes]:
 
     inner = Tokenizer.from_file(tokenizer)
     parts: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
     odd: set[str] = set()
 
     def packed(encoding) -> bytes:
         return array("I", encoding.ids).tobytes()
 
-    def encoded(new: list[str]) -> dict[str, bytes]:
+    def looked_up(wanted: set[str]) -> dict[str, bytes]:
+        """Parts that the newer generation lacks: out of the older one, or encoded now."""
+        nonlocal parts, older
+        fresh = {p: older[p] for p in wanted & older.keys()}
+        new = list(wanted - fresh.keys())
         found = inner.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
-        fresh = dict(zip(new, map(packed, found), strict=True))
+        fresh.update(zip(new, map(packed, found), strict=True))
         odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
-        if len(parts) + len(new) > PARTS:
-            parts.clear()
+        if len(parts) + len(fresh) > PARTS // 2:
+            parts, older = {}, parts
         parts.update(fresh)
         return fresh
 
@@ -51,7 +56,7 @@ def encoder(tokenizer: str) -> Callable[[str | None], bytes]:
         first, *split = text.split(" ")
         ids = list(map(parts.get, split))
         if None in ids:
-            fresh = encoded(list({p for p, i in zip(split, ids, strict=True) if i is None}))
+            fresh = looked_up({p for p, i in zip(split, ids, strict=True) if i is None})
             ids = [fresh[p] if i is None else i for p, i in zip(split, ids, strict=True)]
         if not first or first[-1].isspace() or (odd and not odd.isdisjoint(split)):
             return packed(inner.encode(text, add_special_tokens=False))
