@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.llm.batches import chunks, one_row_per
@@ -63,26 +63,57 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     return rows.mapInArrow(run, f"doc_id {kind}, fp bigint")
 
 
-def _postings(prints: DataFrame, bits: int) -> DataFrame:
-    """An entry for each choice of the bytes that must agree: (choice and their values, print).
+def agreements(bits: int, fp: Column) -> Column:
+    """The entries of a print: each choice of the bytes that must agree, with their values.
 
     Prints that differ in at most ``bits`` bits differ in at most as many bytes, so they share at
     least ``8 - bits`` bytes by position and meet under one of the choices. A list holds prints
     that agree in all bytes but ``bits``: no more than 256 ** bits of them, whatever the table.
     """
-    choices = []
+    entries = []
     for number, free in enumerate(combinations(range(BYTES), bits)):
         mask = reduce(lambda m, p: m & ~(0xFF << (8 * p)), free, (1 << 64) - 1)
         signed = mask - (1 << 64) if mask >> 63 else mask
-        choices.append(
+        entries.append(
             F.struct(
                 F.lit(number).cast("smallint").alias("choice"),
-                F.col("fp").bitwiseAND(F.lit(signed)).alias("shared"),
+                fp.bitwiseAND(F.lit(signed)).alias("shared"),
             )
         )
-    return prints.select(F.explode(F.array(*choices)).alias("p"), "fp").select(
-        "p.choice", "p.shared", "fp"
-    )
+    return F.array(*entries)
+
+
+def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The lists of two or more entries out of rows sorted by ``choice, shared``.
+
+    Each comes as the columns after these two, which are whole numbers.
+    """
+    held: list[np.ndarray] | None = None
+    for batch in _ended(batches):
+        if batch is None:
+            if held is None:
+                return
+            columns, held = held, None
+            ends = len(columns[0])
+        else:
+            columns = [
+                batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64)
+                for i in range(batch.num_columns)
+            ]
+            if held is not None:
+                columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            if not len(columns[0]):
+                continue
+            last = (columns[0] == columns[0][-1]) & (columns[1] == columns[1][-1])
+            ends = int(np.argmax(last))  # the last list may go on in the next batch
+            held = [c[ends:] for c in columns]
+        if not ends:
+            continue
+        choice, shared = columns[0][:ends], columns[1][:ends]
+        new = (choice[1:] != choice[:-1]) | (shared[1:] != shared[:-1])
+        starts = np.concatenate(([0], np.flatnonzero(new) + 1, [ends]))
+        for i in np.flatnonzero(np.diff(starts) > 1):
+            yield [c[starts[i] : starts[i + 1]] for c in columns[2:]]
 
 
 def _local_links(prints: np.ndarray, masks: _Masks) -> tuple[np.ndarray, np.ndarray]:
@@ -137,39 +168,16 @@ def links(prints: DataFrame, bits: int = 2) -> DataFrame:
     masks = _Masks(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: tuple | None = None
-        empty = np.empty(0, dtype=np.int64)
-        for batch in _ended(batches):
-            if batch is None:
-                choice, shared, fp = kept or (empty, empty, empty)
-                kept, ends = None, len(fp)
-            else:
-                choice, shared, fp = (
-                    batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64)
-                    for i in range(3)
+        for (fp,) in lists(batches):
+            a, b = _local_links(fp.view(np.uint64), masks)
+            if len(a):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x.view(np.int64)) for x in (a, b)], names=["a", "b"]
                 )
-                if kept is not None:
-                    choice, shared, fp = (
-                        np.concatenate(x) for x in zip(kept, (choice, shared, fp), strict=True)
-                    )
-                if not len(fp):
-                    continue
-                last = (choice == choice[-1]) & (shared == shared[-1])
-                ends = int(np.argmax(last))  # the last list may go on in the next batch
-                kept = (choice[ends:], shared[ends:], fp[ends:])
-            if not ends:
-                continue
-            new = (choice[1:ends] != choice[: ends - 1]) | (shared[1:ends] != shared[: ends - 1])
-            starts = np.concatenate(([0], np.flatnonzero(new) + 1, [ends]))
-            for i in np.flatnonzero(np.diff(starts) > 1):
-                a, b = _local_links(fp[starts[i] : starts[i + 1]].view(np.uint64), masks)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x.view(np.int64)) for x in (a, b)], names=["a", "b"]
-                    )
-
-    lists = _postings(prints, bits).repartition("choice", "shared")
-    return lists.sortWithinPartitions("choice", "shared").mapInArrow(run, "a bigint, b bigint")
+
+    entries = prints.select(F.explode(agreements(bits, F.col("fp"))).alias("entry"), "fp")
+    dealt = entries.select("entry.choice", "entry.shared", "fp").repartition("choice", "shared")
+    return dealt.sortWithinPartitions("choice", "shared").mapInArrow(run, "a bigint, b bigint")
 
 
 def _ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:

@@ -3,14 +3,14 @@
 import random
 
 import brute
-import numpy as np
 import pytest
 from samples import TEXTS, prose, texts
 
-from fareloom.llm import repeats, simhash
+from fareloom.llm import repeats
 from fareloom.llm.automaton import seen_windows
+from fareloom.llm.batches import word_hashes
 from fareloom.llm.components import components
-from fareloom.llm.near import drop_near_copies
+from fareloom.llm.near import drop_near_copies, prints_of
 from fareloom.llm.repeats import mark_repeats
 from fareloom.llm.simhash import links, near_duplicates
 
@@ -130,13 +130,13 @@ def _edited(text, places):
 
 
 def test_near_copies(spark):
-    base = prose(1, 3000, 5000)
+    base = prose(1, 300, 5000)
     rows = [
         *TEXTS,
         (10, base),
-        (11, _edited(base, [7])),
+        (11, _edited(base, [7, 150, 290])),
         (12, base.upper()),
-        (13, prose(2, 3000, 5000)),
+        (13, prose(2, 300, 5000)),
         (14, "short words here"),
         (15, "short words there"),
     ]
@@ -146,9 +146,24 @@ def test_near_copies(spark):
     assert found == [0, 1, 4, 5, 8, 9, 10, 13, 14, 15]
 
 
+def test_near_copies_are_found_and_others_stay(spark):
+    """Copies with three words in a hundred edited, among unrelated texts; and a group of many."""
+    draw = random.Random(7)
+    rows = [(i, prose(i, 200, 3000)) for i in range(60)]
+    rows += [(100 + i, _edited(rows[i][1], draw.sample(range(200), 6))) for i in range(30)]
+    rows += [(200 + i, _edited(rows[59][1], draw.sample(range(200), 3))) for i in range(150)]
+    kept = {r["doc_id"] for r in drop_near_copies(texts(spark, rows)).collect()}
+    sets = {k: {tuple(w) for w in zip(*[t.split()[i:] for i in range(5)], strict=False)} for k, t in rows}
+    alike = {k for k in sets if 100 <= k < 130 and len(sets[k] & sets[k - 100]) >= 0.8 * len(sets[k] | sets[k - 100])}
+    assert set(range(60)) <= kept
+    assert len(alike - kept) >= 0.9 * len(alike)
+    assert not (set(range(100, 130)) - alike) - kept
+    assert len([k for k in kept if k >= 200]) <= 5
+
+
 def test_prints_alone_remove_nothing(spark):
-    """Texts with one print but few common shingles stay."""
-    pair = [(1, "p " * 500 + prose(1, 3, 9)), (2, "p " * 500 + prose(2, 300, 9))]
-    prints = {simhash.fingerprint(simhash.shingles(t, 5)) for _, t in pair}
-    assert max(int(np.bitwise_count(np.int64(a ^ b))) for a in prints for b in prints) <= 3
-    assert drop_near_copies(texts(spark, pair)).count() == 2
+    """Texts whose prints are close but whose shingles are not stay."""
+    pair = [(1, "p q r s " * 30), (2, "s r q p " * 30), (3, "p r q s " * 30)]
+    prints = [prints_of(t.encode().split(), word_hashes()) for _, t in pair]
+    assert (prints[0] == prints[1]).all() and (prints[0] == prints[2]).all()
+    assert drop_near_copies(texts(spark, pair)).count() == 3

@@ -30,7 +30,9 @@ def test_ids_equal_the_library():
     library, own = Tokenizer.from_file(BYTE_BPE), encoder(BYTE_BPE)
     for text in [*scraps(1, 4000), *(t for _, t in TEXTS if t), prose(1, 300)]:
         expected = library.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(own(text), "<u4").tolist() == expected, repr(text)
+        assert np.frombuffer(own([text])[0], "<u4").tolist() == expected, repr(text)
+    many = [None, "", *scraps(9, 50), "a b", None]
+    assert own(many) == [own([text])[0] for text in many]
 
 
 @pytest.mark.parametrize("seed", range(6))
