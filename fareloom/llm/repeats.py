@@ -10,6 +10,7 @@ order of the collection and gives matching statistics against all earlier ones.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -153,8 +154,12 @@ def _spans(rows: DataFrame, window: int) -> DataFrame:
 
 
 def _passages(spans: DataFrame, window: int, hot: bool) -> DataFrame:
-    """The passage around every anchor of a span, or every window under its hot anchors."""
+    """The passage around every anchor of a span that is hot, or around every other one.
+
+    The shard of a passage is its anchor; a hot anchor's passages are shards by themselves.
+    """
     kind = spans.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "row", "start", "length", "shard", "passage"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = word_hashes()
@@ -166,36 +171,60 @@ def _passages(spans: DataFrame, window: int, hot: bool) -> DataFrame:
             marks = [set(m.as_py() or ()) for m in batch.column("hot")]
             texts, begins = text_of[places], batch.column("start").to_pylist()
             anchors = runs[places].view(np.int64)
-            row, start, value = [], [], []
+            found = []
             for a, b in _groups(places):
                 i = int(texts[a])
                 if (int(anchors[a]) in marks[i]) != hot:
                     continue
-                begin, end = int(starts[a] - first[i]), int(starts[b - 1] - first[i])
-                for s in range(begin, end + 1) if hot else (begin,):
-                    row.append(i)
-                    start.append(begins[i] + s)
-                    passage = b" ".join(tokens[i][s : (s if hot else end) + window])
-                    value.append(
-                        xxhash.xxh128_digest(passage) if hot else (int(anchors[a]), passage.decode())
-                    )
-            if not row:
+                begin, end = int(starts[a] - first[i]), int(starts[b - 1] - first[i]) + window
+                passage = b" ".join(tokens[i][begin:end])
+                shard = xxhash.xxh128_digest(passage) if hot else int(anchors[a])
+                found.append((i, begins[i] + begin, end - begin, shard, passage.decode()))
+            if not found:
                 continue
-            taken = pa.array(row)
-            columns = [batch.column("doc_id").take(taken), batch.column("row").take(taken), pa.array(start, pa.int32())]
-            if hot:
-                columns.append(pa.array(value, pa.binary()))
-            else:
-                columns.append(pa.array([v[0] for v in value], pa.int64()))
-                columns.append(pa.array([v[1] for v in value], pa.string()))
-            names = ["doc_id", "row", "start", *(["shard"] if hot else ["shard", "passage"])]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            row, start, length, shard, passage = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(pa.array(row)), batch.column("row").take(pa.array(row)),
+                    pa.array(start, pa.int32()), pa.array(length, pa.int32()),
+                    pa.array(shard, pa.binary() if hot else pa.int64()), pa.array(passage, pa.string()),
+                ],
+                names=names,
+            )
 
     chosen = spans.where(F.size("hot") > 0) if hot else spans
     return chosen.select("doc_id", "row", "start", "text", "hot").mapInArrow(
         run,
-        f"doc_id {kind}, row bigint, start int, "
-        + ("shard binary" if hot else "shard bigint, passage string"),
+        f"doc_id {kind}, row bigint, start int, length int, "
+        f"shard {'binary' if hot else 'bigint'}, passage string",
+    )
+
+
+def _windows(passages: DataFrame, window: int) -> DataFrame:
+    """Every window of the passages, each a shard by itself."""
+    kind = passages.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "passage"):
+            row, start, shard = [], [], []
+            starts = batch.column("start").to_pylist()
+            for i, passage in enumerate(batch.column("passage").to_pylist()):
+                tokens = words(passage)
+                for s in range(len(tokens) - window + 1):
+                    row.append(i)
+                    start.append(starts[i] + s)
+                    shard.append(xxhash.xxh128_digest(b" ".join(tokens[s : s + window])))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(pa.array(row, pa.int64())),
+                    batch.column("row").take(pa.array(row, pa.int64())),
+                    pa.array(start, pa.int32()), pa.array(shard, pa.binary()),
+                ],
+                names=["doc_id", "row", "start", "shard"],
+            )
+
+    return passages.select("doc_id", "row", "start", "passage").mapInArrow(
+        run, f"doc_id {kind}, row bigint, start int, shard binary"
     )
 
 
@@ -207,6 +236,8 @@ def _judged(passages: DataFrame, window: int) -> DataFrame:
     """
     kind = passages.schema["doc_id"].dataType.simpleString()
 
+    rest = passages.select("doc_id", "row", "start", "shard", "passage")
+
     def flush(rows: list[tuple]) -> tuple[list, list, list, list]:
         out: tuple[list, list, list, list] = ([], [], [], [])
         if len(rows) < 2:
@@ -242,19 +273,21 @@ def _judged(passages: DataFrame, window: int) -> DataFrame:
                 names=["doc_id", "row", "start", "length"],
             )
 
-    ordered = passages.repartition("shard").sortWithinPartitions("shard", "doc_id", "row", "start")
+    ordered = rest.repartition("shard").sortWithinPartitions("shard", "doc_id", "row", "start")
     return ordered.mapInArrow(run, f"doc_id {kind}, row bigint, start int, length int")
 
 
-def _later(occurrences: DataFrame, shard: str, *kept: str) -> DataFrame:
-    """The occurrences that are not the first of their shard; equal shards are equal word for word.
+def _told_apart(occurrences: DataFrame, shard: str) -> DataFrame:
+    """The occurrences with ``later``: true for all but the first of a shard of equal words.
 
     Firsts are combined where the rows are; the join back has two written sides, so that adaptive
     execution splits a shard that many rows share.
     """
     place = F.struct("doc_id", "row", "start")
-    firsts = written(occurrences.groupBy(shard).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts")
-    return occurrences.join(firsts, shard).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "row", "start", *kept)
+    firsts = occurrences.groupBy(shard).agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    firsts = written(firsts.where("n > 1").drop("n"), "firsts")
+    later = F.col("first").isNotNull() & ~place.eqNullSafe(F.col("first"))
+    return occurrences.join(firsts, shard, "left").withColumn("later", later).drop("first")
 
 
 def repeated_stretches(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -269,20 +302,17 @@ def repeated_stretches(docs: DataFrame, window: int = 20) -> DataFrame:
         F.collect_list(F.struct("at", "hot")).alias("again")
     )
     spans = written(_spans(docs.join(places, "row"), window), "spans")
-    firsts = spans.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count("*").alias("n")
-    )
-    firsts = written(firsts, "first-spans")
-    judged = spans.join(firsts, "digest").withColumn(
-        "later", ~F.struct("doc_id", "row", "start").eqNullSafe(F.col("first"))
-    )
-    judged = written(judged.drop("digest", "first", "n"), "judged-spans")
-    copies = judged.where("later").select("doc_id", "row", "start", "length")
+    judged = written(_told_apart(spans, "digest").drop("digest"), "judged-spans")
     fresh = judged.where("not later")
     by_automaton = _judged(_passages(fresh, window, hot=False), window)
-    windows = written(_passages(fresh, window, hot=True), "hot-windows")
-    by_window = _later(windows, "shard").withColumn("length", F.lit(window))
-    return copies.unionByName(by_automaton).unionByName(by_window)
+    # Under a hot anchor equal passages go first, whole; what is left of it is told by its windows.
+    hot = written(_passages(fresh, window, hot=True), "hot-passages")
+    hot = written(_told_apart(hot, "shard").drop("shard"), "judged-passages")
+    windows = written(_windows(hot.where("not later"), window), "hot-windows")
+    windows = _told_apart(windows, "shard").withColumn("length", F.lit(window))
+    place = ("doc_id", "row", "start", "length")
+    told = [table.where("later").select(*place) for table in (judged, hot, windows)]
+    return reduce(DataFrame.unionByName, told, by_automaton)
 
 
 def mark_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
