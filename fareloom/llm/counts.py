@@ -107,11 +107,12 @@ def token_counts(docs: DataFrame, file: str, key: str = "doc_id", text: str = "t
         counter = _counter(file)
         for batch in chunks(batches):
             tokens = [words(t) for t in batch.column("text").to_pylist()]
+            counts = {word: counter[word] for word in {w for t in tokens for w in t}}
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array([len(t) for t in tokens], pa.int64()),
-                    pa.array([sum(map(counter.__getitem__, t)) for t in tokens], pa.int64()),
+                    pa.array([sum(map(counts.__getitem__, t)) for t in tokens], pa.int64()),
                 ],
                 names=["doc_id", "n_pretokens", "n_tokens"],
             )

@@ -247,23 +247,31 @@ class Model:
             ids = self._merged(symbols)
         return array("i", ids).tobytes(), array("i", [self.size_of[i] for i in ids]).tobytes()
 
+    def _parts(self, text: str) -> list[str]:
+        """The stretches of a text that has the space before it already."""
+        if not text or not self.apart or self.map.units:
+            return [text] if text else []
+        if "  " in text or SPACE in text:
+            # a stretch begins with all the spaces, plain or as signs, that stand before it
+            return re.findall(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+", text)
+        first, *rest = text.split(" ")
+        return ([first] if first else []) + [" " + part for part in rest]
+
+    def encode_all(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids and source lengths of each text; a stretch that several share is looked up once."""
+        split = [self._parts(" " + t if self.prefix and t else t) for t in texts]
+        whole = not self.apart or bool(self.map.units)
+        wanted = {part for parts in split for part in parts}
+        known = {part: self._stretch(part) if whole else self.stretches[part] for part in wanted}
+        return [self._joined(list(map(known.__getitem__, parts))) for parts in split]
+
     def encode(self, text: str) -> tuple[bytes, bytes]:
+        return self.encode_all([text])[0]
+
+    def _joined(self, found: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
         """Ids and source lengths of a whole text, as 32-bit numbers."""
-        if not text:
+        if not found:
             return b"", b""
-        text = " " + text if self.prefix else text
-        if not self.apart or self.map.units:
-            found = [self._stretch(text)]
-        else:
-            if "  " in text or SPACE in text:
-                # a stretch begins with all the spaces, plain or as signs, that stand before it
-                parts = re.findall(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+", text)
-            elif text[0] == " ":
-                parts = [" " + p for p in text[1:].split(" ")]
-            else:
-                first, *rest = text.split(" ")
-                parts = [first, *(" " + p for p in rest)]
-            found = list(map(self.stretches.__getitem__, parts))
         ids, lengths = (b"".join(x) for x in zip(*found, strict=True))
         if self.prefix:  # the space that was put before the text is in the first piece
             first = struct.unpack_from("<i", lengths)[0]
@@ -352,7 +360,7 @@ def encode_pieces(docs: DataFrame, file: str, key: str = "doc_id", text: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(file)
         for batch in chunks(batches):
-            found = [own.encode(t or "") for t in batch.column("text").to_pylist()]
+            found = own.encode_all([t or "" for t in batch.column("text").to_pylist()])
             offsets = np.cumsum([0, *(len(ids) // 4 for ids, _ in found)]).astype(np.int32)
             ids = np.frombuffer(b"".join([ids for ids, _ in found]), "<i4")
             sizes = np.frombuffer(b"".join([sizes for _, sizes in found]), "<i4")
