@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 
 
 def agreements(bits: int, fp: Column) -> Column:
-    """The entries of a print: each choice of the bytes that must agree, with their values.
+    """The entries of a print: each choice of bytes that must agree, their values and the others'.
 
     Prints that differ in at most ``bits`` bits differ in at most as many bytes, so they share at
     least ``8 - bits`` bytes by position and meet under one of the choices. A list holds prints
@@ -72,12 +72,13 @@ def agreements(bits: int, fp: Column) -> Column:
     """
     entries = []
     for number, free in enumerate(combinations(range(BYTES), bits)):
-        mask = reduce(lambda m, p: m & ~(0xFF << (8 * p)), free, (1 << 64) - 1)
-        signed = mask - (1 << 64) if mask >> 63 else mask
+        others = reduce(lambda m, p: m | 0xFF << (8 * p), free, 0)
+        signed = others - (1 << 64) if others >> 63 else others
         entries.append(
             F.struct(
                 F.lit(number).cast("smallint").alias("choice"),
-                fp.bitwiseAND(F.lit(signed)).alias("shared"),
+                fp.bitwiseAND(F.lit(~signed)).alias("shared"),
+                fp.bitwiseAND(F.lit(signed)).alias("free"),
             )
         )
     return F.array(*entries)
