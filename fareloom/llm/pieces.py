@@ -81,7 +81,9 @@ class CharacterMap:
                 taken, become = match
                 new = become.decode("utf-8", "replace")
             else:
-                taken = next((n for n in (1, 2, 3, 4) if at + n >= len(data) or data[at + n] & 0xC0 != 0x80), 1)
+                taken = 1
+                while at + taken < len(data) and data[at + taken] & 0xC0 == 0x80:
+                    taken += 1
                 new = data[at : at + taken].decode("utf-8", "replace")
             at += taken
             if not new:
@@ -258,15 +260,14 @@ class Model:
         return ([first] if first else []) + [" " + part for part in rest]
 
     def encode_all(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids and source lengths of each text; a stretch that several share is looked up once."""
-        split = [self._parts(" " + t if self.prefix and t else t) for t in texts]
-        whole = not self.apart or bool(self.map.units)
-        wanted = {part for parts in split for part in parts}
-        known = {part: self._stretch(part) if whole else self.stretches[part] for part in wanted}
-        return [self._joined(list(map(known.__getitem__, parts))) for parts in split]
+        """Ids and source lengths of each text."""
+        return [self.encode(text) for text in texts]
 
     def encode(self, text: str) -> tuple[bytes, bytes]:
-        return self.encode_all([text])[0]
+        parts = self._parts(" " + text if self.prefix and text else text)
+        whole = not self.apart or bool(self.map.units)
+        look_up = self._stretch if whole else self.stretches.__getitem__
+        return self._joined(list(map(look_up, parts)))
 
     def _joined(self, found: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
         """Ids and source lengths of a whole text, as 32-bit numbers."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from fareloom.llm.batches import chunks, one_row_per
 
-#: Parts a worker keeps, in two generations; the number changes the time only.
+#: Parts a worker keeps; the number changes the time only.
 PARTS = 1_500_000
 
 
@@ -24,47 +24,40 @@ def encoder(tokenizer: str) -> Callable[[list[str | None]], list[bytes]]:
 
     For byte-level pre-tokenizers that keep a space with the word after it, a text falls apart
     before each space that stands alone without changing any id, so each such part is encoded once.
-    A text with other spaces goes to the tokenizer whole. A worker keeps its parts from task to task;
-    a list of texts looks each of its distinct parts up once.
+    A text with other spaces goes to the tokenizer whole. A worker keeps its parts from task to task.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     inner = Tokenizer.from_file(tokenizer)
     parts: dict[str, bytes] = {}
-    older: dict[str, bytes] = {}
-
-    def encoded(texts: list[str]) -> list[bytes]:
-        found = inner.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", encoding.ids).tobytes() for encoding in found]
-
-    def looked_up(wanted: set[str]) -> dict[str, bytes]:
-        nonlocal parts, older
-        known = {p: parts[p] for p in wanted & parts.keys()}
-        fresh = {p: older[p] for p in (wanted - known.keys()) & older.keys()}
-        new = list(wanted - known.keys() - fresh.keys())
-        fresh.update(zip(new, encoded([" " + p for p in new]), strict=True))
-        if len(parts) + len(fresh) > PARTS // 2:
-            parts, older = {}, parts
+    odd: set[str] = set()
+
+    def packed(encoding) -> bytes:
+        return array("I", encoding.ids).tobytes()
+
+    def encoded(new: list[str]) -> dict[str, bytes]:
+        found = inner.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
+        fresh = dict(zip(new, map(packed, found), strict=True))
+        odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
+        if len(parts) + len(new) > PARTS:
+            parts.clear()
         parts.update(fresh)
-        return known | fresh
-
-    def encode(texts: list[str | None]) -> list[bytes]:
-        split = [text.split(" ") if text else [""] for text in texts]
-        firsts = encoded([words[0] for words in split])
-        ids = looked_up({part for words in split for part in words[1:]})
-        # with a space beside it, a space does not stand alone
-        odd = {p for p in ids if not p or p[0].isspace() or p[-1].isspace()}
-        found = []
-        for text, (first, *rest), head in zip(texts, split, firsts, strict=True):
-            whole = rest and (not first or first[-1].isspace() or not odd.isdisjoint(rest))
-            if whole:
-                found += encoded([text])
-            else:
-                found.append(head + b"".join(map(ids.__getitem__, rest)))
-        return found
-
-    return encode
+        return fresh
+
+    def encode(text: str | None) -> bytes:
+        if not text:
+            return b""
+        first, *split = text.split(" ")
+        ids = list(map(parts.get, split))
+        if None in ids:
+            fresh = encoded(list({p for p, i in zip(split, ids, strict=True) if i is None}))
+            ids = [fresh[p] if i is None else i for p, i in zip(split, ids, strict=True)]
+        if not first or first[-1].isspace() or (odd and not odd.isdisjoint(split)):
+            return packed(inner.encode(text, add_special_tokens=False))
+        return packed(inner.encode(first, add_special_tokens=False)) + b"".join(ids)
+
+    return lambda texts: [encode(text) for text in texts]
 
 
 def token_pieces(
