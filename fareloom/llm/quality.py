@@ -120,7 +120,9 @@ def _isotonic(scores: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> tup
     return np.array([b[0] / b[2] for b in blocks]), np.array([b[1] / b[2] for b in blocks])
 
 
-def fit(labelled: DataFrame, ridge: float = 1e-5, bandwidth: float = 0.01, seed: int = 3) -> Classifier | None:
+def fit(
+    labelled: DataFrame, ridge: float = 1e-5, bandwidth: float = 0.01, seed: int = 3
+) -> Classifier | None:
     """Fit to ``(doc_id, stats, label)`` with labels from 0 to 1; None without any label.
 
     Every labelled row counts. Each partition sums the normal equations of its rows, one set per
@@ -204,6 +206,13 @@ def fit(labelled: DataFrame, ridge: float = 1e-5, bandwidth: float = 0.01, seed:
     )
 
 
+def _known(labels: DataFrame, learn_from, key: str, label: str) -> DataFrame:
+    """One label per id to learn from, the mean of several."""
+    value = F.col(f"`{label}`").cast("double").alias("label")
+    known = labels.select(F.col(f"`{key}`").alias("doc_id"), value).where(learn_from)
+    return known.groupBy("doc_id").agg(F.avg("label").alias("label"))
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, learn_from, key: str = "doc_id", text: str = "text",
     label: str = "quality",
@@ -216,9 +225,7 @@ def score_quality(
     and repeated ids are scored row by row. Without any label all scores are 0.5.
     """
     stats = written(document_statistics(docs, key, text), "statistics")
-    known = labels.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{label}`").cast("double").alias("label"))
-    known = known.where(learn_from).groupBy("doc_id").agg(F.avg("label").alias("label"))
-    found = fit(stats.join(known, "doc_id"))
+    found = fit(stats.join(_known(labels, learn_from, key, label), "doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,9 +247,7 @@ def keep_good(
     Learns and scores as :func:`score_quality` does. Without any label every row stays.
     """
     stats = document_statistics(docs, key, text)
-    known = labels.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{label}`").cast("double").alias("label"))
-    known = known.where(learn_from).groupBy("doc_id").agg(F.avg("label").alias("label"))
-    found = fit(stats.join(known, "doc_id"))
+    found = fit(stats.join(_known(labels, learn_from, key, label), "doc_id"))
     if found is None:
         return docs
 

@@ -125,14 +125,16 @@ def _spans(rows: DataFrame, window: int) -> DataFrame:
             kept = repeated[places]
             starts, places = starts[kept], places[kept]
             out = []
-            # starts of windows in neighbouring places and one text belong to one stretch
-            stretch = np.cumsum(np.concatenate(([0], (np.diff(starts) != 1) | (text_of[starts[1:]] != text_of[starts[:-1]])))) if len(starts) else starts
+            # windows that start in neighbouring places of one text belong to one stretch
+            apart = (np.diff(starts) != 1) | (text_of[starts[1:]] != text_of[starts[:-1]])
+            stretch = np.concatenate(([0], np.cumsum(apart)))[: len(starts)]
             for a, b in _groups(stretch):
                 i = int(text_of[starts[a]])
                 begin, end = int(starts[a] - first[i]), int(starts[b - 1] - first[i]) + window
                 span = b" ".join(tokens[i][begin:end])
                 own = np.unique(places[a:b])
-                out.append((i, begin, end - begin, span.decode("utf-8"), xxhash.xxh128_digest(span), runs[own[hot[own]]].view(np.int64)))
+                marked = runs[own[hot[own]]].view(np.int64)
+                out.append((i, begin, end - begin, span.decode(), xxhash.xxh128_digest(span), marked))
             if out:
                 row, begin, size, span, digest, anchors = zip(*out, strict=True)
                 taken = pa.array(row)
@@ -238,45 +240,47 @@ def _judged(passages: DataFrame, window: int) -> DataFrame:
 
     rest = passages.select("doc_id", "row", "start", "shard", "passage")
 
-    def flush(rows: list[tuple]) -> tuple[list, list, list, list]:
-        out: tuple[list, list, list, list] = ([], [], [], [])
+    def flush(rows: list[tuple]) -> list[tuple]:
         if len(rows) < 2:
-            return out
-        masks = seen_windows([r[4].encode().split() for r in rows], window)
-        for (doc, row, start, _, _), mask in zip(rows, masks, strict=True):
-            for a, b in _groups(np.array(mask)):
-                if mask[a]:
-                    for column, v in zip(out, (doc, row, start + a, int(b - a) - 1 + window), strict=True):
-                        column.append(v)
-        return out
+            return []
+        masks = seen_windows([words(r[4]) for r in rows], window)
+        return [
+            (doc, row, start + a, b - a - 1 + window)
+            for (doc, row, start, _, _), mask in zip(rows, masks, strict=True)
+            for a, b in _groups(np.array(mask))
+            if mask[a]
+        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            kinds = batch.schema.field("doc_id").type
-            for item in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if held and held[0][3] != item[3]:
-                    for column, found in zip(out, flush(held), strict=True):
-                        column.extend(found)
-                    held = []
-                if not held or held[-1][:3] != item[:3]:  # rows alike are one document
-                    held.append(item)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], kinds), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())],
-                names=["doc_id", "row", "start", "length"],
-            )
-        if held:
-            out = flush(held)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], kinds), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())],
-                names=["doc_id", "row", "start", "length"],
-            )
+        for batch in _with_end(batches):
+            found: list[tuple] = []
+            if batch is not None:
+                ids = batch.schema.field("doc_id").type
+                for item in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                    if held and held[0][3] != item[3]:
+                        found += flush(held)
+                        held = []
+                    if not held or held[-1][:3] != item[:3]:  # rows alike are one document
+                        held.append(item)
+            else:
+                found = flush(held)
+            if found:
+                kinds = (ids, pa.int64(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)],
+                    names=["doc_id", "row", "start", "length"],
+                )
 
     ordered = rest.repartition("shard").sortWithinPartitions("shard", "doc_id", "row", "start")
     return ordered.mapInArrow(run, f"doc_id {kind}, row bigint, start int, length int")
 
 
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def _told_apart(occurrences: DataFrame, shard: str) -> DataFrame:
     """The occurrences with ``later``: true for all but the first of a shard of equal words.
 
@@ -315,7 +319,10 @@ def repeated_stretches(docs: DataFrame, window: int = 20) -> DataFrame:
     return reduce(DataFrame.unionByName, told, by_automaton)
 
 
-def mark_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def mark_repeats(
+    docs: DataFrame, window: int = 20, key: str = "doc_id", text: str = "text",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept, carried)``: every row with its words, repeats taken out.
 
     A word goes if a window of ``window`` words that covers it also starts earlier: in a smaller
@@ -339,7 +346,8 @@ def mark_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             total, removed, kept = [], [], []
-            for value, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+            texts, lists = (batch.column(c).to_pylist() for c in ("text", "gone"))
+            for value, gone in zip(texts, lists, strict=True):
                 tokens = words(value)
                 total.append(len(tokens))
                 if gone:
@@ -350,7 +358,10 @@ def mark_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text: s
                 removed.append(total[-1] - len(tokens))
                 kept.append(b" ".join(tokens).decode("utf-8"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), batch.column("carried")],
+                [
+                    batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
+                    pa.array(kept, pa.string()), batch.column("carried"),
+                ],
                 names=["doc_id", "n_words", "n_removed", "kept", "carried"],
             )
 

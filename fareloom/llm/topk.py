@@ -70,7 +70,8 @@ def largest_products(
                 near = np.arange(long_enough)
                 if cosine >= COORDINATES_FROM:
                     near = near[_in_region(bucket[:long_enough], units[q], cosine)]
-                _offer(best, q, _products(queries[q : q + 1], matrix[near], exact)[0], ids[near], query_ids[q])
+                scores = _products(queries[q : q + 1], matrix[near], exact)[0]
+                _offer(best, q, scores, ids[near], query_ids[q])
             for i in range(0, len(whole), 256):
                 some = whole[i : i + 256]
                 for q, scores in zip(some, _products(queries[some], matrix, exact), strict=True):

@@ -7,7 +7,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +17,7 @@ from fareloom.session import written
 
 END = b"\r\n\r\n"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+SENT = re.compile(rb"(?i)\r\ncontent-length: *(\d+)\r\n")
 START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 #: Records a file holds at most, so that a reader's task stays small.
 RECORDS_PER_FILE = 2000
@@ -53,7 +54,8 @@ def mark_revisits(records: DataFrame, least: int = 1000) -> DataFrame:
 def _record() -> Column:
     """A record as bytes, without the two line ends that close it."""
     eol = F.lit("\r\n")
-    name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    name = lambda c: F.concat(F.lit("<urn:page:"), text(c), F.lit(">"))
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value, eol)
     optional = lambda key, value: F.coalesce(line(key, value), F.lit(""))
     revisit = F.col("record_type") == "revisit"
@@ -180,10 +182,7 @@ def salvage(data: bytes) -> Iterator[Part]:
                 reason = member
             else:
                 content, length = member
-                found = [
-                    Part(at, length, p.reason and f"in gzip member: {p.reason}", p.headers, p.block, p.payload)
-                    for p in salvage(content)
-                ]
+                found = [replace(p, offset=at, length=length) for p in salvage(content)]
                 reason = "gzip member without a record"
                 if all(p.reason for p in found):
                     found = []
@@ -232,7 +231,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 rows, size = [], 0
                 for part in salvage(content.as_py() or b""):
                     h = part.headers
-                    sent = re.search(rb"(?i)\r\ncontent-length: *(\d+)\r\n", part.block.partition(END)[0] + b"\r\n")
+                    sent = SENT.search(part.block.partition(END)[0] + b"\r\n")
                     rows.append((
                         file.as_py(), part.offset, part.length, part.reason, h.get("warc-type"),
                         h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-refers-to"),
