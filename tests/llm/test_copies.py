@@ -167,3 +167,71 @@ def test_prints_alone_remove_nothing(spark):
     prints = [prints_of(t.encode().split(), word_hashes()) for _, t in pair]
     assert (prints[0] == prints[1]).all() and (prints[0] == prints[2]).all()
     assert drop_near_copies(texts(spark, pair)).count() == 3
+
+
+def _groups(rows, size=5, similarity=0.8):
+    """The smallest id of each group, over all pairs of (id, text)."""
+    sets = {k: {tuple(w) for w in zip(*[t.split()[i:] for i in range(size)], strict=False)} for k, t in rows}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {find(k) for k in sets}
+
+
+def _kept(spark, rows):
+    return {r["doc_id"] for r in drop_near_copies(texts(spark, rows)).collect()}
+
+
+def test_groups_within_a_family_of_many_are_found(spark):
+    """Templated pages: a common first part, the same words after it, in an order of each group."""
+    first, rest = prose(1, 120, 5000).split(), prose(2, 80, 5000).split()
+    rows = []
+    for group in range(4):
+        order = random.Random(group).sample(rest, len(rest))
+        for copy in range(30):
+            own, draw = [*first, *order], random.Random(f"{group} {copy}")
+            for place in draw.sample(range(0, 198, 2), 2):
+                own[place : place + 2] = own[place + 1], own[place]
+            rows.append((group + 10 * copy, " ".join(own)))
+    assert _kept(spark, rows) == _groups(rows)
+    assert len(_groups(rows)) >= 4
+
+
+def test_every_near_copy_is_found(spark):
+    """Copies with words edited, appended, put in front and cut off, from 0.7 to 1 alike."""
+    rows = [(i, prose(5000 + i, 200, 100_000)) for i in range(60)]
+    for i, text in rows[:]:
+        draw, words = random.Random(i), text.split()
+        more = prose(9000 + i, draw.choice((5, 22, 40, 48)), 100_000)
+        rows += [
+            (100 + i, _edited(text, draw.sample(range(200), draw.randint(1, 5)))),
+            (200 + i, f"{words[0]} {text} {more}"),
+            (300 + i, f"{more} {text}"),
+            (400 + i, " ".join(words[: draw.randint(150, 195)])),
+        ]
+    alone = [r for i in range(60) for r in rows if r[0] % 100 == i and r[0] // 100 in (0, 1 + i % 4)]
+    for some in (rows, alone):  # every copy by itself too, so that no other copy connects it
+        assert _kept(spark, some) == _groups(some)
+
+
+def test_lists_go_on_over_batches(spark):
+    """Lists are told apart and kept together however few rows come at once."""
+    rows = [(i, _edited(prose(1, 200, 5000), [i, 199 - i])) for i in range(40)]
+    rows += [(100 + i, _edited(prose(i % 5, 60, 5000), [i])) for i in range(20)]
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for most in (1, 7):
+            spark.conf.set(setting, most)
+            assert _kept(spark, rows) == _groups(rows)
+    finally:
+        spark.conf.set(setting, before)
