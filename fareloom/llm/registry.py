@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fareloom.llm.counts import token_counts
 from fareloom.llm.forest import nearest
 from fareloom.llm.packing import pack_documents
+from fareloom.llm.prefix_trie import ordered_turns, prefix_trie, with_shared_heads
 from fareloom.llm.pieces import decode_pieces, encode_pieces
 from fareloom.llm.quality import score_quality
 from fareloom.llm.repeats import mark_repeats
@@ -18,7 +19,7 @@ from fareloom.llm.topk import largest_products
 from fareloom.llm.urls import judge_urls, rule_table
 from fareloom.llm.warc import mark_revisits, read_archives, write_archives
 from fareloom.registry.entries import Entry
-from fareloom.session import shared_folder
+from fareloom.session import shared_folder, written
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -74,6 +75,51 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
+TRIE_SQL = """
+WITH RECURSIVE turns AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p,
+           {'r': coalesce(role, ''), 'x': coalesce(text, '')} AS t
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT c, c - c % 5 AS b, xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+        lambda crc, d: list_reduce(
+            list_concat([xor(crc, d)], [0::BIGINT for i in range(8)]),
+            lambda r, i: xor(r >> 1, 3988292384::BIGINT * (r & 1))
+        )
+    )) % 9 AS h
+    FROM (SELECT DISTINCT c FROM turns)
+), parts AS (
+    SELECT v.c, 0 AS own, t.p, t.t FROM convs v JOIN turns t ON t.c = v.b AND t.p <= v.h
+    UNION ALL
+    SELECT v.c, 1, t.p, t.t FROM convs v JOIN turns t ON t.c = v.c AND t.p > v.h
+), rebuilt AS (
+    SELECT v.c, coalesce(r.s, []) AS s
+    FROM convs v LEFT JOIN (SELECT c, list(t ORDER BY own, p) AS s FROM parts GROUP BY c) r ON r.c = v.c
+), members AS (
+    SELECT c, s, unnest(range(len(s) + 1)) AS d FROM rebuilt
+), nodes AS (
+    SELECT list_slice(s, 1, d) AS k, d AS depth, min(c) AS conv_id, count(*) AS n,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(s) = d), '')) AS ends,
+           (count(*) - 1) * coalesce(strlen(any_value(s[d].x)), 0) AS saved
+    FROM members GROUP BY ALL
+), children AS (
+    SELECT list_slice(k, 1, depth - 1) AS k, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), shaped AS (
+    SELECT n.*, coalesce(c.n, 0) AS n_children
+    FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.k = n.k
+), below AS (
+    SELECT list_slice(k, 1, a) AS k, a AS depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS a FROM shaped) GROUP BY ALL
+)
+SELECT s.conv_id, s.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, s.n::BIGINT AS n_convs,
+       s.n_children::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves,
+       b.saved_tokens::BIGINT AS saved_tokens, s.ends AS ends_sha256
+FROM shaped s
+JOIN below b ON b.depth = s.depth AND b.k = s.k
+LEFT JOIN shaped p ON p.depth = s.depth - 1 AND p.k = list_slice(s.k, 1, s.depth - 1)
+"""
+
 
 def held_out_ids(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2
@@ -151,6 +197,12 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return largest_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = ordered_turns(table(spark, folder, "conversations"))
+    turns = written(turns, "conversation-turns")
+    return prefix_trie(with_shared_heads(turns), turns.select("conv").distinct())
+
+
 ENTRIES = {
     "op1_quality_classifier": Entry(op1_quality_classifier),
     "op2_url_filters": Entry(op2_url_filters, URL_SQL),
@@ -162,4 +214,5 @@ ENTRIES = {
     "op8_sentencepiece": Entry(op8_sentencepiece),
     "op9_substring_dedup": Entry(op9_substring_dedup),
     "op10_exact_top_k": Entry(op10_exact_top_k, TOP_K_SQL),
+    "op13_conversation_trie": Entry(op13_conversation_trie, TRIE_SQL),
 }
