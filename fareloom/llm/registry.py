@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from fareloom.llm.counts import token_counts
 from fareloom.llm.forest import nearest
 from fareloom.llm.packing import pack_documents
+from fareloom.llm.phrases import contaminated
 from fareloom.llm.prefix_trie import ordered_turns, prefix_trie, with_shared_heads
 from fareloom.llm.pieces import decode_pieces, encode_pieces
 from fareloom.llm.quality import score_quality
 from fareloom.llm.repeats import mark_repeats
 from fareloom.llm.simhash import near_duplicates
+from fareloom.llm.spellings import spelling_variants, word_counts
 from fareloom.llm.tables import table
 from fareloom.llm.topk import largest_products
 from fareloom.llm.urls import judge_urls, rule_table
@@ -75,6 +77,90 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
+LEAKS_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, n, list_slice(w, pos + 1, pos + n) AS k
+    FROM (SELECT item_id, w, n, unnest(range(len(w) - n + 1)) AS pos
+          FROM (SELECT *, least(10, len(w)) AS n FROM items WHERE len(w) > 0))
+), places AS (
+    SELECT row, n, pos, list_slice(w, pos + 1, pos + n) AS k
+    FROM (SELECT d.row, d.w, s.n, unnest(range(len(d.w) - s.n + 1)) AS pos
+          FROM docs d JOIN (SELECT DISTINCT n FROM windows) s ON len(d.w) >= s.n)
+), found AS (
+    SELECT p.row, p.pos, p.n, w.item_id FROM places p JOIN windows w ON w.n = p.n AND w.k = p.k
+), hit AS (
+    SELECT row, count(DISTINCT pos) AS n FROM (SELECT row, unnest(range(pos, pos + n)) AS pos FROM found) GROUP BY row
+), named AS (
+    SELECT row, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT row, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY row
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
+       coalesce(i.n, 0)::BIGINT AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h ON h.row = d.row LEFT JOIN named i ON i.row = d.row
+"""
+
+
+VARIANTS_SQL = r"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+), counted AS (
+    SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS told
+    FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], [
+            (instr('0123456789ABCDEF', told[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', told[2 * i + 2]) - 1
+            for i in range(len(told) // 2)
+        ]),
+        lambda crc, d: list_reduce(
+            list_concat([xor(crc, d)], [0::BIGINT for i in range(8)]),
+            lambda r, i: xor(r >> 1, 3988292384::BIGINT * (r & 1))
+        )
+    )) AS h
+    FROM counted
+), slipped AS (
+    SELECT n, CASE WHEN h % 199 = 0
+        THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM hashed
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS (
+    SELECT word, n, pos, left(word, pos - 1) || substr(word, pos + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS pos FROM words)
+), near AS (
+    SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.pos = b.pos AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON b.word = a.rest
+    UNION
+    SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON b.word = a.rest
+), best AS (
+    SELECT word, count(*) AS n_near, max(n) AS n, arg_min(other, (-n, other)) AS other FROM near GROUP BY word
+), formed AS (
+    SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+           CASE WHEN b.n >= 5 * w.n THEN b.other END AS form, CASE WHEN b.n >= 5 * w.n THEN b.n END AS form_n
+    FROM words w LEFT JOIN best b ON b.word = w.word
+), followed AS (
+    SELECT word, word AS root, form AS onward FROM formed
+    UNION ALL
+    SELECT f.word, f.onward, x.form FROM followed f JOIN formed x ON x.word = f.onward
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN followed r ON r.word = f.word AND r.onward IS NULL
+"""
+
+
 TRIE_SQL = """
 WITH RECURSIVE turns AS (
     SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p,
@@ -197,6 +283,23 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return largest_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"), size=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    counts = word_counts(
+        table(spark, folder, "documents"), least_letters=6, least_count=5, slips=199
+    )
+    return spelling_variants(counts, times=5)
+
+
 def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = ordered_turns(table(spark, folder, "conversations"))
     turns = written(turns, "conversation-turns")
@@ -214,5 +317,7 @@ ENTRIES = {
     "op8_sentencepiece": Entry(op8_sentencepiece),
     "op9_substring_dedup": Entry(op9_substring_dedup),
     "op10_exact_top_k": Entry(op10_exact_top_k, TOP_K_SQL),
+    "op11_benchmark_decontamination": Entry(op11_benchmark_decontamination, LEAKS_SQL),
+    "op12_spelling_variants": Entry(op12_spelling_variants, VARIANTS_SQL),
     "op13_conversation_trie": Entry(op13_conversation_trie, TRIE_SQL),
 }

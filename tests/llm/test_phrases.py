@@ -1,0 +1,125 @@
+"""Phrases of test items in documents against plain searches."""
+
+import re
+
+import pytest
+from samples import TEXTS, prose, texts
+
+from fareloom.llm import phrases
+from fareloom.llm.phrases import contaminated, find_windows, item_windows, positional_index, tokens
+
+ITEM = "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12"
+ITEMS = [
+    ("a", ITEM), ("b", "Short one"), ("c", None), ("d", ""), ("e", "?!"), (None, "no id at all here"),
+    ("f", ITEM), ("a", "Short one"), ("g", "nowhere to be found"), ("h", "x x x x x x x x x x x x"),
+]
+DOCS = [
+    *TEXTS, (20, f"before {ITEM} after"), (21, ITEM.upper().replace(" ", "--")), (22, ITEM[:-4]), (23, "w12 " + ITEM[3:]),
+    (24, f"{ITEM} {ITEM}"), (25, "short ONE, short one"), (26, "No id at all here? short one"), (27, "short"),
+    (28, "one"), (29, "x " * 30), (30, "x " * 9), (31, "w1 w2 w3"), (32, "w4 w5 w6 w7 w8 w9 w10 w11 w12"),
+]
+
+
+def words(text):
+    lower = re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def plain(docs, items, size=10):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - size + 1) if w else 0):
+            windows.setdefault(tuple(w[i : i + size]), set()).add(item)
+    result = []
+    for key, text in docs:
+        w, hit, found = words(text), set(), set()
+        for n in {len(k) for k in windows}:
+            for i in range(len(w) - n + 1):
+                owners = windows.get(tuple(w[i : i + n]))
+                if owners:
+                    hit.update(range(i, i + n))
+                    found |= owners
+        result.append((key, len(w), len(hit), sorted(str(f) for f in found if f is not None)))
+    return sorted(result, key=str)
+
+
+def items_frame(spark, items):
+    return spark.createDataFrame([(*i, 1, "s") for i in items], "item_id string, text string, shard int, words string")
+
+
+def found(spark, docs, items, size=10):
+    rows = contaminated(texts(spark, docs), items_frame(spark, items), size)
+    assert rows.columns == ["doc_id", "n_words", "n_hit", "items"]
+    return sorted((tuple(r) for r in rows.collect()), key=str)
+
+
+def test_tokens_are_runs_of_letters_and_digits_and_all_beyond_ascii():
+    for text in ["", "A-b_c d9'É世界 \x00\x7f~x", "ÀB İ   z", *(t for _, t in TEXTS if t)]:
+        assert [w.decode() for w in tokens(text)] == words(text)
+
+
+@pytest.mark.parametrize("size", [1, 3, 10])
+def test_equals_plain_search(spark, size):
+    assert found(spark, DOCS, ITEMS, size) == plain(DOCS, ITEMS, size)
+
+
+@pytest.mark.parametrize("docs, items", [([], ITEMS), (DOCS, []), ([], []), (DOCS + DOCS, ITEMS + ITEMS)])
+def test_empty_and_repeated_tables(spark, docs, items):
+    assert found(spark, docs, items) == plain(docs, items)
+
+
+def test_blocks_of_windows_and_places_give_the_same(spark, monkeypatch):
+    items = [(str(i), prose(i, 40, 30)) for i in range(20)]
+    docs = [(i, prose(i % 25, 60, 30) + " " + prose(100 + i, 200, 30)) for i in range(60)]
+    expected = plain(docs, items, 4)
+    assert sum(e[2] for e in expected) > 500
+    assert found(spark, docs, items, 4) == expected
+    monkeypatch.setattr(phrases, "WINDOWS_AT_ONCE", 100)
+    monkeypatch.setattr(phrases, "PLACES_AT_ONCE", 50)
+    assert found(spark, docs, items, 4) == expected
+
+
+def plain_stretches(tokens, window, slack):
+    need, spans = set(window), set()
+    for start in range(len(tokens)):
+        for end in range(start + 1, min(len(tokens), start + len(window) + slack) + 1):
+            if need <= set(tokens[start:end]):
+                if not need <= set(tokens[start + 1 : end]) and not need <= set(tokens[start : end - 1]):
+                    spans.add((start, end - start))
+                break
+    return spans
+
+
+@pytest.mark.parametrize("slack", [None, 0, 2, 7])
+def test_phrases_and_near_phrases_by_place(spark, slack):
+    items = [("a", "w1 w2 w3"), ("b", "w2 w2 w5 w7"), ("c", "w3"), ("d", "w9 missing")]
+    docs = [(i, prose(i, 80, 9)) for i in range(12)] + [(90, None), (91, "w1 w3 x w2"), (92, "w3"), (93, "w1")]
+    index = positional_index(texts(spark, docs))  # of all terms: it serves any windows
+    windows = item_windows(items_frame(spark, items), size=4)
+    kept = {r["window"]: r["words"] for r in windows.collect()}
+    ids = {(r["shard"], i): d for r in index.collect() for i, d in enumerate(r["doc_ids"])}
+    result = [
+        (ids[r["shard"], r["document"]], tuple(kept[r["window"]]), r["start"], r["length"])
+        for r in find_windows(index, windows, slack).collect()
+    ]
+    expected = []
+    for key, text in docs:
+        w = words(text)
+        for window in kept.values():
+            if slack is None:
+                n = len(window)
+                spans = {(i, n) for i in range(len(w) - n + 1) if w[i : i + n] == window}
+            else:
+                spans = plain_stretches(w, window, slack)
+            expected += [(key, tuple(window), *s) for s in spans]
+    assert len(expected) > 20
+    assert sorted(result) == sorted(expected)
+
+
+def test_index_lists_only_terms_that_windows_may_have(spark):
+    windows = item_windows(items_frame(spark, [("a", "alpha beta")]))
+    index = positional_index(texts(spark, [(1, "alpha gamma " * 50 + "beta"), (2, "delta")]), windows)
+    rows = index.collect()
+    assert {t for r in rows for t in r["terms"]} <= {"alpha", "beta"}
+    assert sorted(n for r in rows for n in r["n_words"]) == [1, 101]
