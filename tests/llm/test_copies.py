@@ -1,18 +1,18 @@
 """SimHash groups, near copies and repeated windows against plain versions."""
 
+import itertools
 import random
 
 import brute
+import numpy as np
 import pytest
 from samples import TEXTS, prose, texts
 
-from fareloom.llm import repeats
+from fareloom.llm import repeats, simhash
 from fareloom.llm.automaton import seen_windows
-from fareloom.llm.batches import word_hashes
 from fareloom.llm.components import components
-from fareloom.llm.near import drop_near_copies, prints_of
 from fareloom.llm.repeats import mark_repeats
-from fareloom.llm.simhash import links, near_duplicates
+from fareloom.llm.simhash import BYTES, drop_near_duplicates, keys, links, near_duplicates, postings, tallied
 
 
 def test_fingerprints_and_groups(spark):
@@ -37,7 +37,7 @@ def test_null_ids_join_groups_and_never_name_them(spark):
 def test_empty_tables(spark):
     none = texts(spark, [])
     assert near_duplicates(none).collect() == []
-    assert drop_near_copies(none).collect() == []
+    assert drop_near_duplicates(none).collect() == []
     assert mark_repeats(none).collect() == []
 
 
@@ -122,116 +122,61 @@ def test_repeats_of_odd_rows(spark):
     assert found[4, 1]["carried"].asDict() == {"row": 1, "start": 3}
 
 
-def _edited(text, places):
-    words = text.split()
-    for place in places:
-        words[place] = "edited"
-    return " ".join(words)
-
-
-def test_near_copies(spark):
+def test_one_row_of_each_group_stays(spark):
     base = prose(1, 300, 5000)
     rows = [
-        *TEXTS,
-        (10, base),
-        (11, _edited(base, [7, 150, 290])),
-        (12, base.upper()),
-        (13, prose(2, 300, 5000)),
-        (14, "short words here"),
-        (15, "short words there"),
-    ]
-    kept = drop_near_copies(texts(spark, rows))
+        *TEXTS, (10, base), (11, base + " end"), (12, base.upper()), (13, prose(2, 300, 5000)),
+        (14, "short words here"), (15, "short words there"), (16, base), (16, "short words here"),
+    ]
+    kept = drop_near_duplicates(texts(spark, rows))
     assert kept.columns == texts(spark, []).columns
-    found = sorted((r["doc_id"] or 0 for r in kept.collect()))
-    assert found == [0, 1, 4, 5, 8, 9, 10, 13, 14, 15]
-
-
-def test_near_copies_are_found_and_others_stay(spark):
-    """Copies with three words in a hundred edited, among unrelated texts; and a group of many."""
-    draw = random.Random(7)
-    rows = [(i, prose(i, 200, 3000)) for i in range(60)]
-    rows += [(100 + i, _edited(rows[i][1], draw.sample(range(200), 6))) for i in range(30)]
-    rows += [(200 + i, _edited(rows[59][1], draw.sample(range(200), 3))) for i in range(150)]
-    kept = {r["doc_id"] for r in drop_near_copies(texts(spark, rows)).collect()}
-    sets = {k: {tuple(w) for w in zip(*[t.split()[i:] for i in range(5)], strict=False)} for k, t in rows}
-    alike = {k for k in sets if 100 <= k < 130 and len(sets[k] & sets[k - 100]) >= 0.8 * len(sets[k] | sets[k - 100])}
-    assert set(range(60)) <= kept
-    assert len(alike - kept) >= 0.9 * len(alike)
-    assert not (set(range(100, 130)) - alike) - kept
-    assert len([k for k in kept if k >= 200]) <= 5
-
-
-def test_prints_alone_remove_nothing(spark):
-    """Texts whose prints are close but whose shingles are not stay."""
-    pair = [(1, "p q r s " * 30), (2, "s r q p " * 30), (3, "p r q s " * 30)]
-    prints = [prints_of(t.encode().split(), word_hashes()) for _, t in pair]
-    assert (prints[0] == prints[1]).all() and (prints[0] == prints[2]).all()
-    assert drop_near_copies(texts(spark, pair)).count() == 3
-
-
-def _groups(rows, size=5, similarity=0.8):
-    """The smallest id of each group, over all pairs of (id, text)."""
-    sets = {k: {tuple(w) for w in zip(*[t.split()[i:] for i in range(size)], strict=False)} for k, t in rows}
-    root = {k: k for k in sets}
-
-    def find(k):
-        while root[k] != k:
-            k = root[k]
-        return k
-
-    for a in sets:
-        for b in sets:
-            if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
-                x, y = sorted((find(a), find(b)))
-                root[y] = x
-    return {find(k) for k in sets}
-
-
-def _kept(spark, rows):
-    return {r["doc_id"] for r in drop_near_copies(texts(spark, rows)).collect()}
-
-
-def test_groups_within_a_family_of_many_are_found(spark):
-    """Templated pages: a common first part, the same words after it, in an order of each group."""
-    first, rest = prose(1, 120, 5000).split(), prose(2, 80, 5000).split()
-    rows = []
-    for group in range(4):
-        order = random.Random(group).sample(rest, len(rest))
-        for copy in range(30):
-            own, draw = [*first, *order], random.Random(f"{group} {copy}")
-            for place in draw.sample(range(0, 198, 2), 2):
-                own[place : place + 2] = own[place + 1], own[place]
-            rows.append((group + 10 * copy, " ".join(own)))
-    assert _kept(spark, rows) == _groups(rows)
-    assert len(_groups(rows)) >= 4
-
-
-def test_every_near_copy_is_found(spark):
-    """Copies with words edited, appended, put in front and cut off, from 0.7 to 1 alike."""
-    rows = [(i, prose(5000 + i, 200, 100_000)) for i in range(60)]
-    for i, text in rows[:]:
-        draw, words = random.Random(i), text.split()
-        more = prose(9000 + i, draw.choice((5, 22, 40, 48)), 100_000)
-        rows += [
-            (100 + i, _edited(text, draw.sample(range(200), draw.randint(1, 5)))),
-            (200 + i, f"{words[0]} {text} {more}"),
-            (300 + i, f"{more} {text}"),
-            (400 + i, " ".join(words[: draw.randint(150, 195)])),
-        ]
-    alone = [r for i in range(60) for r in rows if r[0] % 100 == i and r[0] // 100 in (0, 1 + i % 4)]
-    for some in (rows, alone):  # every copy by itself too, so that no other copy connects it
-        assert _kept(spark, some) == _groups(some)
-
-
-def test_lists_go_on_over_batches(spark):
-    """Lists are told apart and kept together however few rows come at once."""
-    rows = [(i, _edited(prose(1, 200, 5000), [i, 199 - i])) for i in range(40)]
-    rows += [(100 + i, _edited(prose(i % 5, 60, 5000), [i])) for i in range(20)]
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(setting)
-    try:
-        for most in (1, 7):
-            spark.conf.set(setting, most)
-            assert _kept(spark, rows) == _groups(rows)
-    finally:
-        spark.conf.set(setting, before)
+    groups = near_duplicates(texts(spark, rows)).collect()
+    found = [r["doc_id"] for r in kept.collect()]
+    expected = {g["component_id"] for g in groups}
+    assert None not in expected or found.count(None) == sum(g["component_id"] is None for g in groups)
+    assert sorted(f for f in found if f is not None) == sorted(e for e in expected if e is not None)
+    assert {1, 4, 5, 8, 9, 10, 13, 14, 15} <= set(found) and not {2, 3, 6, 7, 12, 16} & set(found)
+
+
+def test_repeated_rows_and_rows_without_ids_stay_once(spark):
+    rows = [(3, "a b c d"), (3, "a b c d"), (None, "a b c d"), (None, "x y z"), (None, "x y z"), (4, None), (4, None)]
+    found = [(r["doc_id"], r["text"]) for r in drop_near_duplicates(texts(spark, rows)).collect()]
+    assert sorted(found, key=str) == sorted([(3, "a b c d"), (None, "x y z"), (4, None)], key=str)
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3])
+def test_prints_in_reach_agree_in_a_key(bits):
+    for gone in itertools.combinations(range(BYTES), bits):
+        assert any(not set(gone) & set(key) for key in keys(bits))
+
+
+def test_the_tally_keeps_pairs_with_the_least_count_only(monkeypatch):
+    """Prints that agree in four bytes: most pairs are rejected before their bits are compared."""
+    draw = random.Random(3)
+    prints = [draw.getrandbits(32) << 32 | 0x01020304 for _ in range(60)]
+    prints += [p ^ 1 << 40 for p in prints[:10]] + [p ^ 0xFF << 56 for p in prints[10:20]]
+    left, right = tallied(np.array(prints, np.uint64), 2)
+    kept = {tuple(sorted(p)) for p in zip(left.tolist(), right.tolist(), strict=True)}
+    assert {(i, 60 + i) for i in range(20)} <= kept
+    assert len(kept) < 40 and len(prints) * (len(prints) - 1) // 2 == 3160
+    same = lambda a, b: sum(a >> 8 * i & 255 == b >> 8 * i & 255 for i in range(8))
+    assert kept == {
+        (i, j) for j in range(len(prints)) for i in range(j) if same(prints[i], prints[j]) >= 6
+    }
+
+
+@pytest.mark.parametrize("bits", [1, 2])
+def test_long_lists_are_split_and_link_as_before(spark, monkeypatch, bits):
+    monkeypatch.setattr(simhash, "LONG_LIST", 40)
+    monkeypatch.setattr(simhash, "TALLIED", 8)
+    draw = random.Random(bits)
+    prints = {draw.getrandbits(32) << 32 for _ in range(100)} | {draw.getrandbits(16) << 16 for _ in range(100)}
+    for start in list(prints):
+        prints.add(start ^ sum(1 << b for b in draw.sample(range(64), draw.randint(1, bits))))
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    table = spark.createDataFrame(signed, "fp bigint")
+    lists = postings(table, bits).groupBy("choice", "shared").count()
+    assert lists.where("choice >= 6" if bits == 2 else "choice >= 4").count()
+    roots = {r["node"]: r["root"] for r in components(links(table, bits)).collect()}
+    expected = brute.components({s: s % 2**64 for (s,) in signed}, bits)
+    assert {s: roots.get(s, s) for (s,) in signed} == expected
