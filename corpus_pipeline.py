@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm.near import drop_near_copies
 from fareloom.llm.packing import pack_documents
 from fareloom.llm.quality import keep_good
 from fareloom.llm.registry import BYTE_BPE, held_out_ids
 from fareloom.llm.repeats import mark_repeats
+from fareloom.llm.simhash import drop_near_duplicates
 from fareloom.llm.tables import prepare, table
 from fareloom.session import written
 
@@ -24,9 +24,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group: SimHash prints of three-word shingles, two differing bits at most."""
     prepare(spark)
-    return drop_near_copies(docs, size=5, similarity=0.8)
+    return drop_near_duplicates(docs, size=3, bits=2)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
