@@ -19,8 +19,10 @@ END = b"\r\n\r\n"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 SENT = re.compile(rb"(?i)\r\ncontent-length: *(\d+)\r\n")
 START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
-#: Records a file holds at most, so that a reader's task stays small.
-RECORDS_PER_FILE = 2000
+#: Bytes of records that a file holds at most, unless one record is longer: a reader holds a file.
+FILE_BYTES = 32 << 20
+#: Bytes that a gzip member is fed at once, that it may hold, and that a record's header may have.
+PIECE_BYTES, MEMBER_BYTES, HEAD_BYTES = 1 << 14, 1 << 30, 1 << 20
 DATE = "2000-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -82,17 +84,33 @@ def _record() -> Column:
     return F.concat(head.cast("binary"), block)
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """Write what :func:`mark_revisits` gives as archives of up to ``RECORDS_PER_FILE`` records.
+def write_archives(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write what :func:`mark_revisits` gives as archives of up to ``file_bytes``, or of one record.
 
-    The text writer puts a record's bytes into the file unchanged and ends each by its line
-    separator, here the two line ends that close a record. So archives go to any storage that Spark
-    writes to, and a lost task's files are not committed.
+    Each task joins its records to files, holding one at a time. The text writer puts a file's bytes
+    down unchanged and ends it by its line separator, here the two line ends that close a record. So
+    archives go to any storage that Spark writes to, and a lost task's files are not committed.
     """
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        size = 0
+        for batch in batches:
+            for record in batch.column("record"):
+                data = record.as_py()
+                if held and size + len(data) + len(END) > file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([END.join(held)], pa.binary())], names=["file"])
+                    held, size = [], 0
+                held.append(data)
+                size += len(data) + len(END)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([END.join(held)], pa.binary())], names=["file"])
+
+    files = records.select(_record().alias("record")).mapInArrow(joined, "file binary")
     (
-        records.select(_record().cast("string").alias("value"))
+        files.select(F.col("file").cast("string").alias("value"))
         .write.option("lineSep", END.decode())
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", 1)
         .text(path)
     )
 
@@ -122,7 +140,7 @@ def _record_at(data: bytes, at: int) -> Part | str:
     """The record that starts at a place, or why there is none."""
     if not VERSION.match(data, at):
         return "no version line"
-    head_end = data.find(END, at)
+    head_end = data.find(END, at, at + HEAD_BYTES)
     if head_end < 0:
         return "header not closed"
     headers: dict[str, str] = {}
@@ -155,34 +173,47 @@ def _record_at(data: bytes, at: int) -> Part | str:
 
 
 def _member_at(data: bytes, at: int) -> tuple[bytes, int] | str:
-    """The content of the gzip member at a place and the member's length, or why there is none."""
-    inflate = zlib.decompressobj(31)
-    try:
-        content = inflate.decompress(memoryview(data)[at:])
-    except zlib.error:
-        return "gzip member damaged"
-    if not inflate.eof:
-        return "gzip member cut off"
-    return content, len(data) - at - len(inflate.unused_data)
-
-
-def salvage(data: bytes) -> Iterator[Part]:
+    """The content of the gzip member at a place and the member's length, or why there is none.
+
+    The member is fed in pieces until it ends, so what follows it costs nothing.
+    """
+    inflate, content, size, fed = zlib.decompressobj(31), [], 0, at
+    while not inflate.eof:
+        piece = inflate.unconsumed_tail
+        if not piece:
+            piece = data[fed : fed + PIECE_BYTES]
+            fed += len(piece)
+            if not piece:
+                return "gzip member cut off"
+        try:
+            content.append(inflate.decompress(piece, 1 << 20))
+        except zlib.error:
+            return "gzip member damaged"
+        size += len(content[-1])
+        if size > MEMBER_BYTES:
+            return "gzip member too large"
+    return b"".join(content), fed - len(inflate.unused_data) - at
+
+
+def salvage(data: bytes, compressed: bool = True) -> Iterator[Part]:
     """Records and gaps that together cover an archive, compressed by record or not at all.
 
     Where a check fails, the search goes on at the next version line or gzip member that passes every
     check; what lies before it is one gap. Offsets are those of the file; records that share a gzip
-    member share its offset and length, and a gap inside a member is the member's.
+    member share its offset and length, and a gap inside a member is the member's. A member inside a
+    member is no record. Each member is read once, whatever follows it; headers of over
+    ``HEAD_BYTES`` and members of over ``MEMBER_BYTES`` are gaps.
     """
     at, gap, why = 0, -1, ""
     while at < len(data):
         found: list[Part] = []
-        if data.startswith(b"\x1f\x8b\x08", at):
+        if compressed and data.startswith(b"\x1f\x8b\x08", at):
             member = _member_at(data, at)
             if isinstance(member, str):
                 reason = member
             else:
                 content, length = member
-                found = [replace(p, offset=at, length=length) for p in salvage(content)]
+                found = [replace(p, offset=at, length=length) for p in salvage(content, False)]
                 reason = "gzip member without a record"
                 if all(p.reason for p in found):
                     found = []

@@ -3,9 +3,11 @@
 import gzip
 import hashlib
 import random
+import time
 
 import pytest
 
+from fareloom.llm import warc
 from fareloom.llm.urls import judge_urls, rule_table
 from fareloom.llm.warc import mark_revisits, read_archives, salvage, write_archives
 from fareloom.session import shared_folder
@@ -110,12 +112,12 @@ PAGES = [
 ]
 
 
-def _written(spark, rows):
+def _written(spark, rows, **options):
     frame = spark.createDataFrame(
         [(*r, 1, "x") for r in rows], "id bigint, url string, payload binary, content int, response string"
     )
     path = shared_folder(spark, "archives")
-    write_archives(mark_revisits(frame), path)
+    write_archives(mark_revisits(frame), path, **options)
     return path
 
 
@@ -209,3 +211,37 @@ def test_salvage_never_fails():
         parts = list(salvage(bytes(data)))
         assert sum(p.length for p in parts) >= len(data) - 0 and len(ids(parts)) <= 6
     assert list(salvage(b"")) == [] and [p.reason for p in salvage(b"\r\n")] == ["no version line"]
+
+
+def test_members_take_time_in_line_with_their_number():
+    """Sixteen times the members take sixteen times as long, not its square."""
+    members = [gzip.compress(record(i, bytes([i % 256]) * 20 + random.Random(i).randbytes(4000))) for i in range(500)]
+    took = {}
+    for times in (1, 4, 16):
+        data = b"".join(members * times)
+        started = time.process_time()
+        assert sum(not p.reason for p in salvage(data)) == 500 * times
+        took[times] = time.process_time() - started
+    assert took[16] < 40 * max(took[1], 0.02)
+
+
+def test_members_within_members_and_large_ones_are_gaps(monkeypatch):
+    nested = gzip.compress(gzip.compress(gzip.compress(record(1))))
+    parts = list(salvage(nested + record(2)))
+    assert ids(parts) == ["<urn:2>"] and [p.reason for p in parts if p.reason] == ["gzip member without a record"]
+    monkeypatch.setattr(warc, "MEMBER_BYTES", 1 << 21)
+    bomb = gzip.compress(record(3, b"\x00" * (8 << 20)))
+    parts = list(salvage(bomb + gzip.compress(record(4))))
+    covers(parts, bomb + gzip.compress(record(4)))
+    assert ids(parts) == ["<urn:4>"] and parts[0].reason == "gzip member too large"
+
+
+def test_files_are_bounded_by_bytes(spark):
+    draw = random.Random(4)
+    sizes = [*[1 << 20] * 12, 5 << 20, *[2000] * 300]
+    rows = [(i, f"http://h/{i}", draw.randbytes(n)) for i, n in enumerate(sizes)]
+    path = _written(spark, rows, file_bytes=3 << 20)
+    files = [r["length"] for r in spark.read.format("binaryFile").load(path).where("length > 0").collect()]
+    assert sorted(files)[-1] < (5 << 20) + 2000 and sorted(files)[-2] <= 3 << 20
+    found = {r["target_uri"]: bytes(r["payload"]) for r in read_archives(spark, path).collect()}
+    assert found == {url: payload for _, url, payload in rows}

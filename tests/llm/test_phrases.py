@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from samples import TEXTS, prose, texts
 
@@ -69,14 +70,13 @@ def test_empty_and_repeated_tables(spark, docs, items):
     assert found(spark, docs, items) == plain(docs, items)
 
 
-def test_blocks_of_windows_and_places_give_the_same(spark, monkeypatch):
+def test_blocks_of_windows_give_the_same(spark, monkeypatch):
     items = [(str(i), prose(i, 40, 30)) for i in range(20)]
     docs = [(i, prose(i % 25, 60, 30) + " " + prose(100 + i, 200, 30)) for i in range(60)]
     expected = plain(docs, items, 4)
     assert sum(e[2] for e in expected) > 500
     assert found(spark, docs, items, 4) == expected
     monkeypatch.setattr(phrases, "WINDOWS_AT_ONCE", 100)
-    monkeypatch.setattr(phrases, "PLACES_AT_ONCE", 50)
     assert found(spark, docs, items, 4) == expected
 
 
@@ -117,6 +117,26 @@ def test_phrases_and_near_phrases_by_place(spark, slack):
     assert sorted(result) == sorted(expected)
 
 
+def test_places_are_followed_in_slices(spark, monkeypatch):
+    index = positional_index(texts(spark, [(i, prose(i, 300, 6)) for i in range(4)])).collect()
+    windows = item_windows(items_frame(spark, [(str(i), prose(i, 30, 6)) for i in range(3)]), size=3)
+    rows = [
+        {"window": r["window"], "item_id": r["item_id"],
+         "terms": [{"offset": i, "word": w} for i, w in enumerate(r["words"])]}
+        for r in windows.collect()
+    ]
+    shards = [phrases._Shard(row.asDict(), phrases._Lookup(rows)) for row in index]
+
+    def everything():
+        return [sorted(zip(*map(np.concatenate, zip(*s.phrases(), strict=True)), strict=True)) for s in shards]
+
+    whole = everything()
+    assert sum(map(len, whole)) > 100
+    monkeypatch.setattr(phrases, "PLACES_AT_ONCE", 7)
+    assert everything() == whole
+    assert sum(1 for s in shards for _ in s.phrases()) > 20
+
+
 def test_index_lists_only_terms_that_windows_may_have(spark):
     windows = item_windows(items_frame(spark, [("a", "alpha beta")]))
     index = positional_index(texts(spark, [(1, "alpha gamma " * 50 + "beta"), (2, "delta")]), windows)

@@ -10,7 +10,7 @@ import pytest
 from samples import TEXTS, texts
 
 from fareloom.llm import spellings
-from fareloom.llm.spellings import grow, letter_counts, spelling_variants, visit, word_counts
+from fareloom.llm.spellings import Cell, grow, letter_counts, spelling_variants, visit, word_counts
 
 
 def plain_counts(docs, letters=6, least=5, slips=199):
@@ -68,28 +68,40 @@ def made_words(seed, families, alphabet="abcdeé"):
     return {w: n for w, n in counts.items() if w}
 
 
-def test_counts_equal_plain_counts(spark, monkeypatch):
+def test_counts_equal_plain_counts(spark):
     docs = [(k, ((t or "") + " Größe größe naïveté ÷×÷×÷× ΑΒΓΔΕΖΗ abcdef_abcdef ABCDEFg ") * 3) for k, t in TEXTS]
     docs += [(i, " ".join(f"word{chr(97 + j % 26) * 3}" for j in range(i))) for i in range(60)] + [(None, None)]
     for slips, least in ((None, 1), (3, 1), (199, 5)):
         found = word_counts(texts(spark, docs), 6, least, slips)
         assert {r["word"]: r["n"] for r in found.collect()} == plain_counts(docs, 6, least, slips)
-    monkeypatch.setattr(spellings, "WORDS_AT_ONCE", 3)
-    found = word_counts(texts(spark, docs), 6, 1, 3)
-    assert {r["word"]: r["n"] for r in found.collect()} == plain_counts(docs, 6, 1, 3)
 
 
-@pytest.mark.parametrize("cell, leaf, at_once", [(1 << 14, 48, 1 << 13), (8, 4, 16), (40, 1, 5)])
-def test_variants_equal_plain_variants(spark, monkeypatch, cell, leaf, at_once):
+@pytest.mark.parametrize("cell", [1 << 14, 40, 8])
+def test_variants_equal_plain_variants(spark, monkeypatch, cell):
     monkeypatch.setattr(spellings, "CELL_WORDS", cell)
-    monkeypatch.setattr(spellings, "LEAF_WORDS", leaf)
-    monkeypatch.setattr(spellings, "SEARCHES_AT_ONCE", at_once)
     counts = made_words(cell, 150)
     expected = plain_variants(counts)
     assert sum(r[1] is not None for r in expected) > 50 and any(r[1] != r[2] for r in expected if r[1])
     assert variants(spark, counts) == expected
 
 
+@pytest.mark.parametrize("leaf", [1, 5, 48])
+def test_a_cell_counts_the_words_near_others(monkeypatch, leaf):
+    monkeypatch.setattr(spellings, "LEAF_WORDS", leaf)
+    counts = made_words(11, 200, "abcdé")
+    of = {size: sorted(w for w in counts if len(w) == size) for size in (7, 8, 9)}
+    as_matrix = lambda words: np.array([list(w.encode("latin-1")) for w in words], np.uint8)
+    cell = Cell(as_matrix(of[8]), np.array([counts[w] for w in of[8]]))
+    for size in (7, 8, 9):
+        number, first = cell.near(as_matrix(of[size]))
+        for word, n, best in zip(of[size], number, first, strict=True):
+            near = [x for x in of[8] if edited(word, x)]
+            assert n == len(near)
+            if near:
+                assert cell.letters[best].tobytes().decode("latin-1") == min(near, key=lambda x: (-counts[x], x))
+    assert sum(cell.near(as_matrix(of[8]))[0]) > 20
+
+
 def test_cells_from_a_small_sample_hold_every_word(spark, monkeypatch):
     monkeypatch.setattr(spellings, "SAMPLE_WORDS", 60)
     monkeypatch.setattr(spellings, "CELL_WORDS", 30)
