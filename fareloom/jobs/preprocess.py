@@ -44,11 +44,12 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = session("fareloom-preprocess")
     read = read_trips_pinned if args.pinned else read_trips
-    raw, known = counted_rows(read(spark, args.trips))
+    raw = read(spark, args.trips)
+    raw_rows = raw.count()  # reads no column; counting below the filters would keep them from the scan
     clean = clean_trips(raw, keep_nan_distance=not args.reject_nan_distance)
     clean, kept = counted_rows(clean)
     write_trips(clean, args.output, args.partition_by, args.rebalance, args.only_touched)
-    print("raw_rows", known.get["rows"], "clean_rows", kept.get["rows"], "dropped_rows", known.get["rows"] - kept.get["rows"])
+    print("raw_rows", raw_rows, "clean_rows", kept.get["rows"], "dropped_rows", raw_rows - kept.get["rows"])
     preview(read_clean_trips(spark, args.output), 5, SHOWN).show()
 
 

@@ -44,8 +44,8 @@ def _from_month(since: tuple[int, int]) -> Column:
     return (F.col("year") > year) | ((F.col("year") == year) & (F.col("month") >= month))
 
 
-#: Footers that the driver asks for at a time; each is a small job.
-FOOTERS_AT_ONCE = 16
+#: Sets of paths whose common schema is asked for at a time; each is one job, whose tasks read footers.
+SCHEMAS_AT_ONCE = 16
 
 
 @dataclass(frozen=True)
@@ -83,16 +83,16 @@ def scan_groups(spark: SparkSession, root: str) -> list[ScanGroup]:
 
     Spark lists the files, all those it would read itself. A folder is named as a whole unless it has
     folders below it; such a folder's own files are named one by one, apart from those in
-    ``key=value`` folders, as a scan that finds partition folders leaves other files out. One footer
-    of each path tells which paths to try together. Then tasks read all footers of a group; one whose
-    types differ after all is halved until they agree, and a folder that disagrees in itself is
-    opened into its files.
+    ``key=value`` folders, as a scan that finds partition folders leaves other files out. Tasks read
+    all footers in one job; where types differ, the paths are halved in order until they agree, and a
+    folder that disagrees in itself is opened into its files. So the number of jobs grows with the
+    places where types change, not with the number of folders: twice the logarithm for each.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
         .select("path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
     )
-    folders = sorted(row["folder"] for row in files.select("folder").distinct().collect())
+    folders = {row["folder"] for row in files.select("folder").distinct().collect()}
     parents = set()
     for folder in folders:
         steps = _below(folder, root).split("/")
@@ -103,37 +103,36 @@ def scan_groups(spark: SparkSession, root: str) -> list[ScanGroup]:
         return [row["path"] for row in chosen.collect()] if names else []
 
     alike: dict[tuple[str, ...], list[str]] = {}
-    whole = [name for name in folders if name not in parents]
-    for path in whole + opened([name for name in folders if name in parents]):
+    for path in [*(folders - parents), *opened(sorted(folders & parents))]:
         below = _below(path, root).split("/")
         named = below if path in folders else below[:-1]
         keys = tuple(step.split("=", 1)[0] for step in named if "=" in step)
         alike.setdefault(keys, []).append(path)
 
-    def first_kinds(path: str) -> tuple:
-        return _kinds(spark.read.option("basePath", root).parquet(path).schema)
+    def parted(paths: list[str]) -> list[list[str]]:
+        if len(paths) > 1:
+            half = len(paths) // 2
+            return [paths[:half], paths[half:]]
+        inside = opened(paths)
+        if not inside or inside == paths:
+            raise ValueError(f"types differ within {paths[0]}")
+        return [inside]
 
     groups: dict[tuple, ScanGroup] = {}
-    for keys, paths in alike.items():
-        by_kinds: dict[tuple, list[str]] = {}
-        with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
-            for path, kinds in zip(sorted(paths), pool.map(first_kinds, sorted(paths)), strict=True):
-                by_kinds.setdefault(kinds, []).append(path)
-        waiting = list(by_kinds.values())
+    waiting = [(keys, sorted(paths)) for keys, paths in alike.items()]
+    with ThreadPoolExecutor(SCHEMAS_AT_ONCE) as pool:
         while waiting:
-            some = waiting.pop()
-            schema = _merged(spark, root, some)
-            if schema is None and len(some) == 1:
-                inside = opened(some)
-                if not inside:
-                    raise ValueError(f"types differ within {some[0]}")
-                waiting.append(inside)
-            elif schema is None:
-                half = len(some) // 2
-                waiting += [some[:half], some[half:]]
-            else:
+            schemas = list(pool.map(lambda some: _merged(spark, root, some[1]), waiting))
+            disagreeing = []
+            for (keys, paths), schema in zip(waiting, schemas, strict=True):
+                if schema is None:
+                    disagreeing += [(keys, part) for part in parted(paths)]
+                    continue
                 known = groups.get((keys, _kinds(schema)))
-                groups[keys, _kinds(schema)] = ScanGroup(keys, schema, (*(known.paths if known else ()), *some))
+                groups[keys, _kinds(schema)] = ScanGroup(
+                    keys, schema, (*(known.paths if known else ()), *paths)
+                )
+            waiting = disagreeing
     return list(groups.values())
 
 

@@ -1,5 +1,6 @@
 import datetime
 import json
+import shutil
 
 import pytest
 from conftest import final_plan_of
@@ -12,6 +13,7 @@ from fareloom.operators.clean import clean_trips
 from fareloom.operators.weather import categorize_weather
 from fareloom.plans import sql_reports
 from fareloom.schema import TRIP_COLUMNS
+from fareloom.sources import trips
 from fareloom.sources.trips import scan_groups
 
 
@@ -105,6 +107,20 @@ class TestTripFiles:
         counts = trips.groupBy("month").count().orderBy("month").collect()
         assert [tuple(r) for r in counts] == [(1, 3), (2, 1), (3, 2)]
 
+    def test_jobs_grow_with_the_changes_of_types_not_with_folders(self, spark, raw, tmp_path, monkeypatch):
+        short = raw().withColumn("airport_fee", F.col("airport_fee").cast("int"))
+        for kind, months in ((raw(), range(100, 121)), (short, range(121, 148))):
+            kind.coalesce(1).write.parquet(str(tmp_path / "one" / kind.schema["airport_fee"].dataType.typeName()))
+            (source,) = (tmp_path / "one").glob(f"{kind.schema['airport_fee'].dataType.typeName()}/part-*")
+            for month in months:
+                (tmp_path / "all" / f"month={month}").mkdir(parents=True)
+                shutil.copy(source, tmp_path / "all" / f"month={month}")
+        asked, merged = [], trips._merged
+        monkeypatch.setattr(trips, "_merged", lambda *given: asked.append(given[2]) or merged(*given))
+        groups = scan_groups(spark, str(tmp_path / "all"))
+        assert sorted(len(g.paths) for g in groups) == [21, 27]
+        assert len(asked) <= 1 + 2 * 6  # the logarithm of 48 folders is below 6
+
     def test_files_beside_folders_are_read_once(self, spark, raw, tmp_path):
         raw({}, {}).write.parquet(str(tmp_path / "all"))
         raw().write.parquet(str(tmp_path / "all" / "more" / "late"))
