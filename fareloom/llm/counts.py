@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Mapping
 from functools import cache
 from math import log
 
@@ -43,22 +44,32 @@ class Trie:
         self.size = 0
 
     def count(self, token: str) -> int:
-        """Insert a pre-token; the number of tokens at its end."""
+        """Insert a pre-token; the number of tokens at its end.
+
+        A trie that is full starts anew with the next pre-token. One that gets full within a
+        pre-token goes on with numbers alone, 16 bytes for each further character.
+        """
         if self.size >= self.nodes:
             self.clear()
-        best, taken = [0.0], [0]
+        best, taken = array("d", [0.0]), array("q", [0])
         children = self.root
-        for end in range(1, len(token) + 1):
-            node = children.get(token[end - 1])
+        for end, character in enumerate(token, 1):
+            node = children.get(character) if children else None
             if node is None:
-                node = children[token[end - 1]] = (*self._forward(token, end, best, taken), {})
+                score, count = self._forward(token, end, best, taken)
+                if self.size >= self.nodes:
+                    children = None
+                    best.append(score)
+                    taken.append(count)
+                    continue
+                node = children[character] = (score, count, {})
                 self.size += 1
             best.append(node[0])
             taken.append(node[1])
             children = node[2]
         return taken[-1]
 
-    def _forward(self, token: str, end: int, best: list[float], taken: list[int]) -> tuple[float, int]:
+    def _forward(self, token: str, end: int, best: array, taken: array) -> tuple[float, int]:
         score, count = None, 0
         for length in self.lengths.get(token[end - 2 : end], ()) if end > 1 else ():
             piece = self.scores.get(token[end - length : end]) if length <= end else None
@@ -89,22 +100,31 @@ def ranked_scores(file: str) -> dict[str, float]:
     return {piece: -log(n + 1) - total for n, piece in enumerate(pieces)}
 
 
-@cache
-def _counter(file: str) -> Cache:
-    trie = Trie(ranked_scores(file))
+def _counter(scores: Mapping[str, float]) -> Cache:
+    trie = Trie(scores)
     return Cache(lambda word: trie.count(SPACE + word.decode("utf-8")), COUNTS)
 
 
-def token_counts(docs: DataFrame, file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+@cache
+def _ranked_counter(file: str) -> Cache:
+    return _counter(ranked_scores(file))
+
+
+def token_counts(
+    docs: DataFrame, scores: str | Mapping[str, float], key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """``(doc_id, n_pretokens, n_tokens)``: pre-tokens are words, each with a space sign before it.
 
-    Tasks keep the trie and its terminal counts between batches, so nothing is shuffled. Null, empty
-    and blank texts have no tokens. One row per row, repeated and null ids included; other columns
-    are left out.
+    ``scores`` are the log probabilities of a unigram model's pieces, or a SentencePiece model file
+    whose pieces :func:`ranked_scores` scores. Tasks keep the trie and its terminal counts between
+    batches, with a file from task to task, so nothing is shuffled; both start anew at a fixed size,
+    and a very long word adds no node beyond it. Null, empty and blank texts have no tokens. One row
+    per row, repeated and null ids included; other columns are left out.
     """
+    given = scores if isinstance(scores, str) else dict(scores)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(file)
+        counter = _ranked_counter(given) if isinstance(given, str) else _counter(given)
         for batch in chunks(batches):
             tokens = [words(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -1,5 +1,7 @@
 """The quality classifier by held-out accuracy, against one machine's arithmetic, and on odd tables."""
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +86,60 @@ def test_held_out_accuracy(spark):
     rows = [r for r in op1_quality_classifier(spark, folder).collect() if r["held_out"] and r["doc_id"] in known]
     right = sum(r["predicted"] == known[r["doc_id"]] for r in rows)
     assert len(rows) > 500 and right >= 0.97 * len(rows)
+
+
+def test_query_equals_a_plain_fit_of_all_rows(spark):
+    """Features, folds, ridge and calibration again, over plain arrays of the whole test table."""
+    folder = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    known = {r["doc_id"]: float(r["quality"]) for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    learnt = sorted(k for k in known if k in docs and zlib.crc32(str(k).encode()) % 4 != 2)
+    points = np.array([statistics(docs[k]) for k in learnt])
+    y = np.array([known[k] for k in learnt])
+    table = spark.createDataFrame(list(zip(learnt, points.tolist(), strict=True)), "doc_id bigint, stats array<double>")
+    folds = {r[0]: r[1] for r in table.select("doc_id", F.expr("pmod(xxhash64(doc_id, stats), 4)")).collect()}
+    fold = np.array([folds[k] for k in learnt])
+
+    draw = np.random.default_rng(3)
+    middle, width = points.mean(axis=0), points.std(axis=0)
+    width = np.where(width > 1e-9, width, 1.0)
+    directions = draw.standard_normal((20, quality.FEATURES)) * np.sqrt(2 * 0.01)
+    phases = draw.uniform(0, 2 * np.pi, quality.FEATURES)
+
+    def waves(stats):
+        scaled = np.clip((stats - middle) / width, -8, 8)
+        z = np.cos(scaled @ directions + phases) * np.sqrt(2 / quality.FEATURES)
+        return np.hstack([z, np.ones((len(stats), 1))])
+
+    def ridge(z, y):
+        penalty = 1e-5 * max(len(y), 1) * np.eye(z.shape[1])
+        penalty[-1, -1] = 1e-9
+        return np.linalg.solve(z.T @ z + penalty, z.T @ y)
+
+    z = waves(points)
+    raw = np.zeros(len(y))
+    for f in range(quality.FOLDS):
+        raw[fold == f] = z[fold == f] @ ridge(z[fold != f], y[fold != f])
+    # isotonic regression by its max-min formula over the bins of equal scores
+    bins = (np.clip((raw + 1) / 3, 0, 1) * (quality.BINS - 1)).astype(int)
+    places = np.unique(bins)
+    n = np.array([(bins == p).sum() for p in places])
+    ones = np.array([y[bins == p].sum() for p in places])
+    middles = np.array([raw[bins == p].mean() for p in places])
+    before = np.concatenate(([0], np.cumsum(n)))
+    good = np.concatenate(([0], np.cumsum(ones)))
+    share = lambda a, b: (good[b] - good[a]) / (before[b] - before[a])
+    size = len(places)
+    fitted = np.array([
+        max(min(share(a, b) for b in range(i + 1, size + 1)) for a in range(i + 1)) for i in range(size)
+    ])
+    levels = np.unique(fitted)
+    at = np.array([np.average(middles[fitted == c], weights=n[fitted == c]) for c in levels])
+
+    keys = list(docs)
+    scores = waves(np.array([statistics(docs[k]) for k in keys])) @ ridge(z, y)
+    expected = dict(zip(keys, np.interp(scores, at, levels), strict=True))
+    found = {r["doc_id"]: r["score"] for r in op1_quality_classifier(spark, folder).collect()}
+    assert found.keys() == expected.keys()
+    off = np.array([abs(found[k] - expected[k]) for k in keys])
+    assert np.quantile(off, 0.99) < 1e-6 and off.max() < 0.05

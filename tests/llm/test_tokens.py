@@ -198,3 +198,25 @@ def test_trie_scores_a_shared_prefix_once():
     assert trie.count("ab") == 1 and trie.size == 4
     assert trie.count("é") == 2 and trie.count("") == 0
     assert Trie(scores, nodes=2).count("abc") == 2
+
+
+def test_scores_of_any_unigram_model(spark):
+    scores = {"▁": -2.0, "a": -3.0, "b": -3.5, "ab": -4.0, "▁a": -3.2, "abab": -5.0, "ba": -6.0}
+    library = models.Unigram([("<unk>", -1e9), *scores.items()], 0, False)
+    rows = [(i, w) for i, w in enumerate(["a", "abab", "ababab", "bab bbb", "a ba ab", "", "aabbaabb " * 3])]
+    for row in token_counts(texts(spark, rows), scores).collect():
+        found = [w for w in rows[row["doc_id"]][1].split()]
+        assert row["n_tokens"] == sum(len(library.tokenize("▁" + w)) for w in found)
+
+
+def test_a_very_long_word_adds_no_more_nodes_than_allowed():
+    scores = ranked_scores(PIECE_BPE)
+    word = "".join(random.Random(2).choices("etaoinshr", k=1_000_000))
+    trie = Trie(scores, nodes=1000)
+    found = trie.count("▁" + word)
+    assert trie.size == 1000
+    library = models.Unigram([("<unk>", -1e9), *scores.items()], 0, False)
+    assert trie.count("▁other") == len(library.tokenize("▁other")) and trie.size <= 1000
+    part = word[:3000]
+    assert Trie(scores, nodes=10).count("▁" + part) == len(library.tokenize("▁" + part))
+    assert 100_000 < found < 1_000_000
