@@ -18,7 +18,8 @@ def components(links: DataFrame) -> DataFrame:
     Null ends and links of a node to itself mean nothing.
     """
     ends = links.select(F.col("a"), F.col("b")).where("a <> b")
-    edges = written(ends.union(ends.select("b", "a")).distinct(), "links")
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = written(ends.select(F.explode(both).alias("link")).select("link.*").distinct(), "links")
     rounds = []
     while not edges.isEmpty():
         nearest = edges.groupBy(F.col("a").alias("node")).agg(
