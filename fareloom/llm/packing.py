@@ -13,6 +13,8 @@ from fareloom.session import written
 
 #: Parts into which the pieces of one length are dealt for counting; the ranks do not depend on it.
 PARTS = 512
+#: Rows of a plan that are sent to every task, 40 bytes each; a longer plan meets its pieces by a shuffle.
+SENT_SLOTS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -96,7 +98,8 @@ def pack(pieces: DataFrame, most: int = 2048) -> DataFrame:
     """Give each piece of 1 to ``most`` tokens a place: the pieces with ``sequence_id, offset``.
 
     ``pieces`` are ``(doc_id, piece, start, length, ids_crc32)`` as :func:`token_pieces` gives them.
-    Only the counts of the at most ``most`` lengths reach the driver. Pieces alike in all columns are
+    Only the counts of the at most ``most`` lengths reach the driver. A plan has some slots a length,
+    whatever the corpus, and never more than the square of ``most``. Pieces alike in all columns are
     interchangeable. No pieces, no rows.
     """
     spark = pieces.sparkSession
@@ -112,7 +115,8 @@ def pack(pieces: DataFrame, most: int = 2048) -> DataFrame:
         & (F.col("rank") >= F.col("first"))
         & (F.col("rank") < F.col("first") + F.col("number"))
     )
-    return ranked(pieces).join(F.broadcast(table), inside).select(
+    table = F.broadcast(table) if len(slots) <= SENT_SLOTS else written(table, "slots")
+    return ranked(pieces).join(table, inside).select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         (F.col("sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset",
     )

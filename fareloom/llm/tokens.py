@@ -39,9 +39,10 @@ def encoder(tokenizer: str) -> Callable[[list[str | None]], list[bytes]]:
     def encoded(new: list[str]) -> dict[str, bytes]:
         found = inner.encode_batch_fast([" " + p for p in new], add_special_tokens=False)
         fresh = dict(zip(new, map(packed, found), strict=True))
-        odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
         if len(parts) + len(new) > PARTS:
             parts.clear()
+            odd.clear()
+        odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
         parts.update(fresh)
         return fresh
 
@@ -49,11 +50,13 @@ def encoder(tokenizer: str) -> Callable[[list[str | None]], list[bytes]]:
         if not text:
             return b""
         first, *split = text.split(" ")
-        ids = list(map(parts.get, split))
+        whole = not first or first[-1].isspace() or bool(odd) and not odd.isdisjoint(split)
+        ids = [] if whole else list(map(parts.get, split))
         if None in ids:
             fresh = encoded(list({p for p, i in zip(split, ids, strict=True) if i is None}))
             ids = [fresh[p] if i is None else i for p, i in zip(split, ids, strict=True)]
-        if not first or first[-1].isspace() or (odd and not odd.isdisjoint(split)):
+            whole = bool(odd) and not odd.isdisjoint(split)
+        if whole:
             return packed(inner.encode(text, add_special_tokens=False))
         return packed(inner.encode(first, add_special_tokens=False)) + b"".join(ids)
 
