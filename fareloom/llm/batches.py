@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +43,6 @@ class Cache(dict):
         return value
 
 
-def word_hashes() -> Cache:
-    return Cache(xxhash.xxh64_intdigest)
-
-
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``CHUNK_BYTES`` of text and at least one row."""
     for batch in batches:

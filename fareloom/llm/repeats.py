@@ -10,7 +10,7 @@ order of the collection and gives matching statistics against all earlier ones.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.llm.automaton import seen_windows
-from fareloom.llm.batches import chunks, word_hashes, words
+from fareloom.llm.batches import chunks, words
 from fareloom.session import written
 
 ANCHOR_WORDS = 8
@@ -27,31 +27,92 @@ ANCHOR_WORDS = 8
 MOST_PASSAGES = 200
 
 
-def _hashes(tokens: list[list[bytes]], cache) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of several texts end to end, and the text that each word is in."""
-    sizes = [len(t) for t in tokens]
-    flat = np.fromiter(
-        (h for t in tokens for h in map(cache.__getitem__, t)), dtype=np.uint64, count=sum(sizes)
-    )
-    return flat, np.repeat(np.arange(len(sizes)), sizes)
+_BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+#: An odd base of the hash of a word's bytes, and its inverse modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+#: Bytes that are summed up at once.
+_BLOCK = 1 << 20
+
+
+@cache
+def _powers(base: int) -> np.ndarray:
+    powers = np.full(_BLOCK, base, dtype=np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
+def _long_hash(word: np.ndarray) -> np.uint64:
+    """The hash of a word that goes on over several blocks."""
+    total = 0
+    for at in range(0, len(word), _BLOCK):
+        part = word[at : at + _BLOCK].astype(np.uint64) + np.uint64(1)
+        total += int((part * _powers(_BASE)[: len(part)]).sum()) * pow(_BASE, at, 1 << 64)
+    return np.uint64(total % (1 << 64))
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes ^= hashes >> np.uint64(31)
+    hashes *= np.uint64(0xBF58476D1CE4E5B9)
+    hashes ^= hashes >> np.uint64(29)
+    return hashes
+
+
+class Words:
+    """The words of several texts end to end: where they lie, a hash of each, and whose they are.
+
+    Hashes are differences of running sums over all bytes, so no word is taken out for them. Equal
+    words have equal hashes; unequal ones that share a hash cost time only, as words decide.
+    """
+
+    def __init__(self, texts: list[str | None]):
+        parts = [(t or "").encode("utf-8", "replace") for t in texts]
+        self.data = b"\n".join(parts)
+        raw = np.frombuffer(self.data, np.uint8)
+        blank = np.concatenate(([True], _BLANK[raw], [True]))
+        edges = np.flatnonzero(blank[1:] != blank[:-1])
+        self.begin, self.end = edges[::2], edges[1::2]
+        ends = np.cumsum(np.array([len(p) + 1 for p in parts], dtype=np.int64))
+        self.text_of = np.searchsorted(ends, self.begin, "right")
+        self.hashes = _mixed(self._hashed(raw))
+        #: The first word of each text.
+        self.first = np.searchsorted(self.text_of, np.arange(len(parts)))
+
+    def _hashed(self, raw: np.ndarray) -> np.ndarray:
+        hashes = np.zeros(len(self.begin), dtype=np.uint64)
+        sums = np.zeros(min(len(raw), _BLOCK) + 1, dtype=np.uint64)
+        for low in range(0, len(raw), _BLOCK):
+            part = raw[low : low + _BLOCK].astype(np.uint64) + np.uint64(1)
+            np.cumsum(part * _powers(_BASE)[: len(part)], out=sums[1 : len(part) + 1])
+            a, b = np.searchsorted(self.begin, (low, low + len(part)))
+            start, stop = self.begin[a:b] - low, self.end[a:b] - low
+            whole = np.minimum(stop, len(part))
+            hashes[a:b] = (sums[whole] - sums[start]) * _powers(_INVERSE)[start]
+            if b > a and stop[-1] > len(part):
+                hashes[b - 1] = _long_hash(raw[self.begin[b - 1] : self.end[b - 1]])
+        return hashes
+
+    def joined(self, start: int, stop: int) -> bytes:
+        """Words by number, with one space between them."""
+        return b" ".join(self.data[self.begin[start] : self.end[stop - 1]].split())
 
 
 def _runs_of(flat: np.ndarray, size: int) -> np.ndarray:
     """A hash of every run of ``size`` words."""
-    base = np.uint64(0x9E3779B97F4A7C15)
+    base = np.uint64(_BASE)
     total = np.zeros(max(0, len(flat) - size + 1), dtype=np.uint64)
     for i in range(size):
         total *= base
         total += flat[i : i + len(total)]
-    total ^= total >> np.uint64(31)
-    total *= np.uint64(0xBF58476D1CE4E5B9)
-    total ^= total >> np.uint64(29)
-    return total
+    return _mixed(total)
 
 
-def _anchors(flat: np.ndarray, text_of: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+def _anchors(words: Words, window: int) -> tuple[np.ndarray, ...]:
     """Starts of the windows that lie within a text, their anchors' places, and all run hashes."""
     size = min(ANCHOR_WORDS, window)
+    flat, text_of = words.hashes, words.text_of
     runs = _runs_of(flat, size)
     if len(flat) < window:
         none = np.empty(0, dtype=np.int64)
@@ -80,21 +141,18 @@ def _groups(values: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def _all_anchors(rows: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
         for batch in chunks(batches):
-            tokens = [words(t) for t in batch.column("text").to_pylist()]
-            flat, text_of = _hashes(tokens, cache)
-            _, places, runs = _anchors(flat, text_of, window)
+            found = Words(batch.column("text").to_pylist())
+            _, places, runs = _anchors(found, window)
             if not len(places):
                 continue
             places = places[np.concatenate(([True], places[1:] != places[:-1]))]
-            first = np.searchsorted(text_of, np.arange(len(tokens)))
-            texts = text_of[places]
+            texts = found.text_of[places]
             yield pa.RecordBatch.from_arrays(
                 [
                     _signed(runs[places]),
                     batch.column("row").take(pa.array(texts)),
-                    pa.array((places - first[texts]).astype(np.int32)),
+                    pa.array((places - found.first[texts]).astype(np.int32)),
                 ],
                 names=["anchor", "row", "at"],
             )
@@ -107,19 +165,17 @@ def _spans(rows: DataFrame, window: int) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
         for batch in chunks(batches):
-            tokens = [words(t) for t in batch.column("text").to_pylist()]
-            flat, text_of = _hashes(tokens, cache)
-            starts, places, runs = _anchors(flat, text_of, window)
-            first = np.searchsorted(text_of, np.arange(len(tokens)))
+            tokens = Words(batch.column("text").to_pylist())
+            starts, places, runs = _anchors(tokens, window)
+            first, text_of, size = tokens.first, tokens.text_of, len(tokens.hashes)
             again = batch.column("again")
             counts = np.diff(again.offsets.to_numpy())
             found = again.flatten()
-            owner = np.repeat(np.arange(len(tokens)), counts)
-            repeated, hot = np.zeros(len(flat), dtype=bool), np.zeros(len(flat), dtype=bool)
+            owner = np.repeat(np.arange(batch.num_rows), counts)
+            repeated, hot = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
             at = first[owner] + found.field("at").to_numpy()
-            good = at < len(flat)
+            good = at < size
             repeated[at[good]] = True
             hot[at[good]] = found.field("hot").to_numpy(zero_copy_only=False)[good]
             kept = repeated[places]
@@ -131,7 +187,7 @@ def _spans(rows: DataFrame, window: int) -> DataFrame:
             for a, b in _groups(stretch):
                 i = int(text_of[starts[a]])
                 begin, end = int(starts[a] - first[i]), int(starts[b - 1] - first[i]) + window
-                span = b" ".join(tokens[i][begin:end])
+                span = tokens.joined(int(starts[a]), int(starts[b - 1]) + window)
                 own = np.unique(places[a:b])
                 marked = runs[own[hot[own]]].view(np.int64)
                 out.append((i, begin, end - begin, span.decode(), xxhash.xxh128_digest(span), marked))
@@ -164,12 +220,10 @@ def _passages(spans: DataFrame, window: int, hot: bool) -> DataFrame:
     names = ["doc_id", "row", "start", "length", "shard", "passage"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_hashes()
         for batch in chunks(batches):
-            tokens = [words(t) for t in batch.column("text").to_pylist()]
-            flat, text_of = _hashes(tokens, cache)
-            starts, places, runs = _anchors(flat, text_of, window)
-            first = np.searchsorted(text_of, np.arange(len(tokens)))
+            tokens = Words(batch.column("text").to_pylist())
+            starts, places, runs = _anchors(tokens, window)
+            first, text_of = tokens.first, tokens.text_of
             marks = [set(m.as_py() or ()) for m in batch.column("hot")]
             texts, begins = text_of[places], batch.column("start").to_pylist()
             anchors = runs[places].view(np.int64)
@@ -179,7 +233,7 @@ def _passages(spans: DataFrame, window: int, hot: bool) -> DataFrame:
                 if (int(anchors[a]) in marks[i]) != hot:
                     continue
                 begin, end = int(starts[a] - first[i]), int(starts[b - 1] - first[i]) + window
-                passage = b" ".join(tokens[i][begin:end])
+                passage = tokens.joined(int(starts[a]), int(starts[b - 1]) + window)
                 shard = xxhash.xxh128_digest(passage) if hot else int(anchors[a])
                 found.append((i, begins[i] + begin, end - begin, shard, passage.decode()))
             if not found:
@@ -319,6 +373,20 @@ def repeated_stretches(docs: DataFrame, window: int = 20) -> DataFrame:
     return reduce(DataFrame.unionByName, told, by_automaton)
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """``(doc_id, text, row)`` with rows alike in id and text once: they are one document.
+
+    Only rows that come more than once are gathered; tasks keep one of each before they meet.
+    """
+    rows = rows.select("doc_id", "text", "row")
+    several = rows.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row")
+    several = written(several, "several")
+    if several.isEmpty():
+        return rows
+    once = rows.join(several, "row", "left_semi").groupBy("row", "doc_id").agg(F.first("text").alias("text"))
+    return rows.join(several, "row", "left_anti").unionByName(once)
+
+
 def mark_repeats(
     docs: DataFrame, window: int = 20, key: str = "doc_id", text: str = "text",
     carry: tuple[str, ...] = (),
@@ -335,7 +403,7 @@ def mark_repeats(
     rows = docs.select(
         F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), carried.alias("carried")
     ).withColumn("row", F.xxhash64("doc_id", "text"))
-    stretches = written(repeated_stretches(rows.drop("carried"), window), "stretches")
+    stretches = written(repeated_stretches(_once(rows), window), "stretches")
     gone = stretches.groupBy("row", "doc_id").agg(
         F.collect_list(F.struct("start", "length")).alias("gone")
     )

@@ -6,6 +6,7 @@ import random
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from samples import TEXTS, prose, texts
 
 from fareloom.llm import repeats, simhash
@@ -180,3 +181,30 @@ def test_long_lists_are_split_and_link_as_before(spark, monkeypatch, bits):
     roots = {r["node"]: r["root"] for r in components(links(table, bits)).collect()}
     expected = brute.components({s: s % 2**64 for (s,) in signed}, bits)
     assert {s: roots.get(s, s) for (s,) in signed} == expected
+
+
+def test_words_lie_where_they_are_split(monkeypatch):
+    rows = [t for _, t in TEXTS] + ["a", "", None, " b  c\x0bd\x1cx é y ", prose(1, 50)]
+    found = repeats.Words(rows)
+    expected = [(i, w) for i, t in enumerate(rows) for w in brute.words(t)]
+    lie = [found.data[a:b] for a, b in zip(found.begin, found.end, strict=True)]
+    assert list(zip(found.text_of.tolist(), lie, strict=True)) == expected
+    by_word = {}
+    for (_, word), h in zip(expected, found.hashes.tolist(), strict=True):
+        assert by_word.setdefault(word, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+    monkeypatch.setattr(repeats, "_BLOCK", 7)
+    repeats._powers.cache_clear()
+    assert repeats.Words(rows).hashes.tolist() == found.hashes.tolist()
+    repeats._powers.cache_clear()
+    assert found.joined(0, 3) == b" ".join(w for _, w in expected[:3])
+
+
+def test_many_identical_rows_are_one_document(spark):
+    """Their work is that of one; each gets its result."""
+    text = prose(8, 400, 10_000)
+    rows = [(1, text)] * 3000 + [(2, "own " + text), (0, prose(9, 40, 10_000))]
+    found = mark_repeats(texts(spark, rows)).groupBy("doc_id", "n_removed").count().collect()
+    assert {tuple(r) for r in found} == {(1, 0, 3000), (2, 400, 1), (0, 0, 1)}
+    anchors = repeats._all_anchors(repeats._once(texts(spark, rows).withColumn("row", F.xxhash64("doc_id", "text"))), 20)
+    assert anchors.count() < 200
