@@ -1,6 +1,7 @@
 import datetime
 import json
 import shutil
+from pathlib import Path
 
 import pytest
 from conftest import final_plan_of
@@ -13,6 +14,7 @@ from fareloom.operators.clean import clean_trips
 from fareloom.operators.weather import categorize_weather
 from fareloom.plans import sql_reports
 from fareloom.schema import TRIP_COLUMNS
+from fareloom.session import one_run, shared_folder, written
 from fareloom.sources import trips
 from fareloom.sources.trips import scan_groups
 
@@ -21,6 +23,25 @@ def files(path):
     return sorted(p for p in path.rglob("*.parquet"))
 
 
+class TestWorkFolders:
+    def test_a_run_removes_what_it_wrote(self, spark):
+        outside = written(spark.range(3), "outside")
+        with one_run(spark):
+            inside = written(spark.range(5), "inside")
+            (file,) = {f.rsplit("/inside", 1)[0] for f in inside.inputFiles()}
+            assert "/run-" in file and Path(file.removeprefix("file://")).exists()
+        assert not Path(file.removeprefix("file://")).exists()
+        assert outside.count() == 3
+        assert "/run-" not in shared_folder(spark, "later")
+
+    def test_a_failed_run_too(self, spark):
+        with pytest.raises(RuntimeError, match="stopped"), one_run(spark):
+            folder = shared_folder(spark, "table")
+            spark.range(2).write.parquet(folder)
+            raise RuntimeError("stopped")
+        assert not Path(folder.removeprefix("file://")).exists()
+
+
 class TestWeatherFiles:
     def test_missing_values_are_zero(self, spark, tmp_path):
         (tmp_path / "w.csv").write_text(
