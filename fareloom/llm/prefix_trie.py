@@ -13,9 +13,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.llm.places import in_order
 from fareloom.session import written
 
 #: Turns of a conversation that a task names at once: the height at which sequences are cut no more.
@@ -42,8 +43,7 @@ def ordered_turns(
     ``digest`` stands for role and text (null becomes empty), ``size`` counts the text's UTF-8 bytes.
     Turns that share a number are in order of their digests; repeated rows are turns of their own.
     Rows without a conversation belong to none and are left out.
-    The order is made by range, so a conversation with any share of the rows spreads over many tasks;
-    places count on from task to task.
+    A conversation with any share of the rows is ordered in many tasks: see :func:`in_order`.
     """
     filled = {n: F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("")) for n in (role, text)}
     told = F.concat(
@@ -53,27 +53,9 @@ def ordered_turns(
         F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"),
         _digest(told).alias("digest"), F.octet_length(filled[text]).cast("bigint").alias("size"),
     )
-    order = [F.col("conv"), F.col("turn").asc_nulls_first(), F.col("digest")]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("turn")
-    # ids count up within a task, whose number is in the bits above the 33rd
-    dealt = written(dealt.withColumn("at", F.monotonically_increasing_id()), "ordered-turns")
-    dealt = dealt.withColumn("task", F.shiftright("at", 33))
-    runs = written(
-        dealt.groupBy("task", "conv").agg(F.min("at").alias("first"), F.count("*").alias("n")), "runs"
-    )
-    several = runs.groupBy("conv").agg(F.count("*").alias("tasks")).where("tasks > 1").select("conv")
-    before = Window.partitionBy("conv").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = (
-        runs.join(several, "conv")
-        .withColumn("earlier", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .select("task", "conv", "earlier")
-    )
-    begins = runs.join(earlier, ["task", "conv"], "left").select(
-        "task", "conv", (F.col("first") - F.coalesce("earlier", F.lit(0))).alias("begin")
-    )
-    begins = written(begins, "run-begins")
-    place = (F.col("at") - F.col("begin") + 1).alias("pos")
-    return dealt.join(begins, ["task", "conv"]).select("conv", place, "digest", "size")
+    order = [F.col("turn").asc_nulls_first(), F.col("digest")]
+    placed = in_order(rows, ["conv"], order, "ordered-turns")
+    return placed.select("conv", "pos", "digest", "size")
 
 
 def with_shared_heads(turns: DataFrame, family: int = 5, most: int = 9) -> DataFrame:

@@ -1,10 +1,11 @@
 """Neighbour search and top-k products against all pairs."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from fareloom.llm import topk, vectors
-from fareloom.llm.forest import nearest
+from fareloom.llm import forest, topk, vectors
+from fareloom.llm.forest import forest_index, index_candidates, nearest, nearest_by_index
 from fareloom.llm.topk import largest_products
 
 NAN, INF = float("nan"), float("inf")
@@ -125,3 +126,46 @@ def test_neighbour_ties_go_to_the_smaller_id(spark):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(50)]
     found = rows_of(nearest(table(spark, rows), F.col("vec_id") == 20, k=5, share=1.0))
     assert found == [(20, i + 1, i, 0.0) for i in range(5)]
+
+
+def recall(matrix, found):
+    hits, queries = 0, sorted({r["query_id"] for r in found})
+    for q in queries:
+        apart = np.sqrt(((matrix - matrix[q]) ** 2).sum(axis=1))
+        apart[q] = np.inf
+        own = sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == list(range(1, 11))
+        scores = [r["score"] for r in own]
+        assert scores == sorted(scores) and np.allclose(scores, apart[[r["vec_id"] for r in own]], rtol=1e-12)
+        hits += len({r["vec_id"] for r in own} & set(np.argsort(apart, kind="stable")[:10].tolist()))
+    return hits / (10 * len(queries))
+
+
+def test_whole_index_finds_neighbours_among_few_candidates(spark, monkeypatch):
+    """Vectors in families: nine in ten neighbours among two in a hundred rows."""
+    monkeypatch.setattr(forest, "INDEX_BLOCK", 700)
+    draw = np.random.default_rng(6)
+    matrix = drawn(6, 12_000, dims=32, clusters=900).astype(np.float32).astype(float)
+    rows = list(zip(range(12_000), matrix.tolist(), strict=True)) + [(50_000, [0.0] * 32), *ODD]
+    given = table(spark, [rows[i] for i in draw.permutation(len(rows))])
+    found = nearest_by_index(given, F.col("vec_id") % 100 == 0, most=240).collect()
+    assert len(found) == 1200 and recall(matrix, found) >= 0.9
+    kept = vectors.whole_vectors(given, "vec_id", "embedding").where("vec_id < 12000")
+    candidates = index_candidates(forest_index(kept), F.col("vec_id") % 100 == 0, 64, 240)
+    counts = [r["count"] for r in candidates.groupBy("query_id").count().collect()]
+    assert len(counts) == 120 and max(counts) <= 240 == 0.02 * 12_000
+
+
+def test_whole_index_of_little_and_of_equal_vectors(spark, monkeypatch):
+    every = F.lit(True)
+    assert nearest_by_index(table(spark, []), every).collect() == []
+    assert nearest_by_index(table(spark, ODD), every).collect() == []
+    mixed = [(1, [1.0, 2.0]), (2, [1.0, 3.0]), (3, [1.0]), (4, [2.0])]
+    found = {(r["query_id"], r["vec_id"]) for r in nearest_by_index(table(spark, mixed), every).collect()}
+    assert found == {(1, 2), (2, 1), (3, 4), (4, 3)}
+    monkeypatch.setattr(forest, "INDEX_BLOCK", 16)
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(300)]
+    found = rows_of(nearest_by_index(table(spark, rows), F.col("vec_id") % 50 == 0, k=5, width=20))
+    assert len(found) == 30 and all(f[3] == 0.0 and f[0] != f[2] for f in found)
+    with pytest.raises(ValueError, match="at least"):
+        nearest_by_index(table(spark, rows), every, k=100)
