@@ -15,6 +15,7 @@ from functools import cache, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -335,17 +336,56 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
     yield None
 
 
-def _told_apart(occurrences: DataFrame, shard: str) -> DataFrame:
+def _told_apart(occurrences: DataFrame, shard: str, name: str) -> DataFrame:
     """The occurrences with ``later``: true for all but the first of a shard of equal words.
 
-    Firsts are combined where the rows are; the join back has two written sides, so that adaptive
-    execution splits a shard that many rows share.
+    The result is written, without ``shard``; pass a written table, as ranges are fitted to a sample of
+    it first. Occurrences are dealt by ranges of (shard, place), so that a shard that many share spreads over
+    tasks, and each task tells a row from the one before it. Only its first row can belong to a shard
+    that began in a task before it: these rows, one a task, are told by the last rows of the tasks.
+    ``shard`` is 16 bytes.
     """
-    place = F.struct("doc_id", "row", "start")
-    firsts = occurrences.groupBy(shard).agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    firsts = written(firsts.where("n > 1").drop("n"), "firsts")
-    later = F.col("first").isNotNull() & ~place.eqNullSafe(F.col("first"))
-    return occurrences.join(firsts, shard, "left").withColumn("later", later).drop("first")
+    order = [shard, "doc_id", "row", "start"]
+    dealt = occurrences.repartitionByRange(*order).sortWithinPartitions(*order)
+    columns = [c for c in occurrences.columns if c != shard]
+    kinds = ", ".join(f"`{c}` {occurrences.schema[c].dataType.simpleString()}" for c in (*columns, shard))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+
+        def told(batch: pa.RecordBatch, later: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
+            first = [batch.column(shard)[0].as_py() if edge[0] else None]  # no other row is at an edge
+            named = pa.concat_arrays([pa.array(first, pa.binary()), pa.nulls(len(later) - 1, pa.binary())])
+            more = (named, pa.array(later), pa.array(edge.astype(np.int32)), pa.array(np.full(len(later), task, np.int32)))
+            return pa.RecordBatch.from_arrays(
+                [*map(batch.column, columns), *more], names=[*columns, shard, "later", "edge", "task"]
+            )
+
+        before, end = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            digests = batch.column(shard).cast(pa.binary(16))
+            data = np.frombuffer(digests.buffers()[1], np.int64).reshape(-1, 2)
+            data = data[digests.offset : digests.offset + batch.num_rows]
+            new = np.ones(batch.num_rows, dtype=bool)
+            new[1:] = (data[1:] != data[:-1]).any(axis=1)
+            edge = np.zeros(batch.num_rows)
+            if before is None:
+                edge[0] = 1
+            else:
+                new[0] = (data[0] != before).any()
+            before, end = data[-1].copy(), batch.slice(batch.num_rows - 1, 1)
+            yield told(batch, ~new, edge)
+        if end is not None:
+            yield told(end, np.array([False]), np.array([2]))
+
+    marked = written(dealt.mapInArrow(run, f"{kinds}, later boolean, edge int, task int"), name)
+    ends = marked.where("edge = 2").groupBy(shard).agg(F.min("task").alias("since"))
+    heads = marked.where("edge = 1").join(ends, shard, "left")
+    heads = heads.withColumn("later", F.coalesce(F.col("since") < F.col("task"), F.lit(False)))
+    parts = [table.select(*columns, "later") for table in (marked.where("edge = 0"), heads)]
+    return parts[0].unionByName(parts[1])
 
 
 def repeated_stretches(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -360,14 +400,15 @@ def repeated_stretches(docs: DataFrame, window: int = 20) -> DataFrame:
         F.collect_list(F.struct("at", "hot")).alias("again")
     )
     spans = written(_spans(docs.join(places, "row"), window), "spans")
-    judged = written(_told_apart(spans, "digest").drop("digest"), "judged-spans")
+    judged = _told_apart(spans, "digest", "judged-spans")
     fresh = judged.where("not later")
     by_automaton = _judged(_passages(fresh, window, hot=False), window)
     # Under a hot anchor equal passages go first, whole; what is left of it is told by its windows.
     hot = written(_passages(fresh, window, hot=True), "hot-passages")
-    hot = written(_told_apart(hot, "shard").drop("shard"), "judged-passages")
+    hot = _told_apart(hot, "shard", "judged-passages")
     windows = written(_windows(hot.where("not later"), window), "hot-windows")
-    windows = _told_apart(windows, "shard").withColumn("length", F.lit(window))
+    windows = _told_apart(windows, "shard", "judged-windows")
+    windows = windows.withColumn("length", F.lit(window))
     place = ("doc_id", "row", "start", "length")
     told = [table.where("later").select(*place) for table in (judged, hot, windows)]
     return reduce(DataFrame.unionByName, told, by_automaton)

@@ -208,3 +208,23 @@ def test_many_identical_rows_are_one_document(spark):
     assert {tuple(r) for r in found} == {(1, 0, 3000), (2, 400, 1), (0, 0, 1)}
     anchors = repeats._all_anchors(repeats._once(texts(spark, rows).withColumn("row", F.xxhash64("doc_id", "text"))), 20)
     assert anchors.count() < 200
+
+
+def test_first_occurrences_are_told_over_tasks(spark):
+    """A shard that goes on over several tasks has one first occurrence."""
+    draw = random.Random(4)
+    rows = [(draw.choice([None, *range(50)]), i, draw.randrange(9), s) for i, s in enumerate([0] * 600 + [1] * 5 + list(range(2, 80)) * 2)]
+    table = spark.createDataFrame(
+        [(d, r, s, shard.to_bytes(16, "big"), "x") for d, r, s, shard in rows],
+        "doc_id bigint, row bigint, start int, shard binary, text string",
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else its few rows meet in one task
+    try:
+        found = repeats._told_apart(table.repartition(5), "shard", "told").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    first = {}
+    for d, r, s, shard in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2])):
+        first.setdefault(shard, r)
+    assert len(found) == len(rows)
+    assert {(r["row"], r["later"]) for r in found} == {(r, first[shard] != r) for _, r, _, shard in rows}
