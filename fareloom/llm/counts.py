@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from functools import cache
 from math import log
 
@@ -17,6 +17,8 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Trie nodes and counts that a worker keeps; the numbers change the time only.
 NODES = 600_000
+#: Characters from which on a word's scores are kept as plain numbers.
+LONG_WORD = 1 << 12
 COUNTS = 1_000_000
 
 
@@ -51,25 +53,23 @@ class Trie:
         """
         if self.size >= self.nodes:
             self.clear()
-        best, taken = array("d", [0.0]), array("q", [0])
+        best, taken = [0.0], [0]
+        if len(token) > LONG_WORD:
+            best, taken = array("d", best), array("q", taken)
         children = self.root
-        for end, character in enumerate(token, 1):
-            node = children.get(character) if children else None
+        for end in range(1, len(token) + 1):
+            node = children.get(token[end - 1])
             if node is None:
-                score, count = self._forward(token, end, best, taken)
-                if self.size >= self.nodes:
-                    children = None
-                    best.append(score)
-                    taken.append(count)
-                    continue
-                node = children[character] = (score, count, {})
-                self.size += 1
+                node = (*self._forward(token, end, best, taken), {})
+                if self.size < self.nodes:
+                    children[token[end - 1]] = node
+                    self.size += 1
             best.append(node[0])
             taken.append(node[1])
             children = node[2]
         return taken[-1]
 
-    def _forward(self, token: str, end: int, best: array, taken: array) -> tuple[float, int]:
+    def _forward(self, token: str, end: int, best: Sequence[float], taken: Sequence[int]) -> tuple[float, int]:
         score, count = None, 0
         for length in self.lengths.get(token[end - 2 : end], ()) if end > 1 else ():
             piece = self.scores.get(token[end - length : end]) if length <= end else None
