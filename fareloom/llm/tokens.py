@@ -32,6 +32,7 @@ def encoder(tokenizer: str) -> Callable[[list[str | None]], list[bytes]]:
     inner = Tokenizer.from_file(tokenizer)
     parts: dict[str, bytes] = {}
     odd: set[str] = set()
+    past: set[str] = set()
 
     def packed(encoding) -> bytes:
         return array("I", encoding.ids).tobytes()
@@ -41,6 +42,8 @@ def encoder(tokenizer: str) -> Callable[[list[str | None]], list[bytes]]:
         fresh = dict(zip(new, map(packed, found), strict=True))
         if len(parts) + len(new) > PARTS:
             parts.clear()
+            past.clear()  # a text at hand may have parts that were known before
+            past.update(odd)
             odd.clear()
         odd.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
         parts.update(fresh)
@@ -50,13 +53,12 @@ def encoder(tokenizer: str) -> Callable[[list[str | None]], list[bytes]]:
         if not text:
             return b""
         first, *split = text.split(" ")
-        whole = not first or first[-1].isspace() or bool(odd) and not odd.isdisjoint(split)
-        ids = [] if whole else list(map(parts.get, split))
+        ids = list(map(parts.get, split))
         if None in ids:
             fresh = encoded(list({p for p, i in zip(split, ids, strict=True) if i is None}))
             ids = [fresh[p] if i is None else i for p, i in zip(split, ids, strict=True)]
-            whole = bool(odd) and not odd.isdisjoint(split)
-        if whole:
+        strange = any(kept and not kept.isdisjoint(split) for kept in (odd, past))
+        if strange or not first or first[-1].isspace():
             return packed(inner.encode(text, add_special_tokens=False))
         return packed(inner.encode(first, add_special_tokens=False)) + b"".join(ids)
 

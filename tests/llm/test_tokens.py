@@ -11,6 +11,7 @@ import sentencepiece
 from samples import TEXTS, prose, texts
 from tokenizers import Tokenizer, models
 
+from fareloom.llm import tokens
 from fareloom.llm.counts import Trie, ranked_scores, token_counts
 from fareloom.llm.packing import pack, pack_documents, plan
 from fareloom.llm.pieces import CharacterMap, Model, decode_pieces, encode_pieces
@@ -220,3 +221,13 @@ def test_a_very_long_word_adds_no_more_nodes_than_allowed():
     part = word[:3000]
     assert Trie(scores, nodes=10).count("▁" + part) == len(library.tokenize("▁" + part))
     assert 100_000 < found < 1_000_000
+
+
+def test_parts_that_are_forgotten_change_nothing(monkeypatch):
+    monkeypatch.setattr(tokens, "PARTS", 40)
+    tokens.encoder.cache_clear()
+    library, own = Tokenizer.from_file(BYTE_BPE), tokens.encoder(BYTE_BPE)
+    for text in scraps(3, 600) + [" ".join(scraps(i, 30)) for i in range(60)]:
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own([text])[0], "<u4").tolist() == expected, repr(text)
+    tokens.encoder.cache_clear()
