@@ -215,10 +215,30 @@ def _spans(rows: DataFrame, window: int) -> DataFrame:
 def _passages(spans: DataFrame, window: int, hot: bool) -> DataFrame:
     """The passage around every anchor of a span that is hot, or around every other one.
 
-    The shard of a passage is its anchor; a hot anchor's passages are shards by themselves.
+    The shard of a passage is its anchor; a hot anchor's passages are shards by themselves. Of equal
+    ones that a task reads together all but the first are told at once: as ``told`` stretches, joined
+    where they touch, without words.
     """
     kind = spans.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "row", "start", "length", "shard", "passage"]
+    names = ["doc_id", "row", "start", "length", "shard", "passage", *["told"] * hot]
+
+    def combined(found: list[tuple], ids: list, rows: list) -> list[tuple]:
+        place = lambda f: (ids[f[0]] is not None, ids[f[0]], rows[f[0]], f[1])
+        first: dict[bytes, tuple] = {}
+        for f in found:
+            held = first.setdefault(f[3], f)
+            if held is not f and place(f) < place(held):
+                first[f[3]] = f
+        result = [(*f, False) for f in first.values()]
+        told: list[list] = []
+        for f in found:
+            if f is first[f[3]]:
+                continue
+            if told and told[-1][0] == f[0] and f[1] <= told[-1][1] + told[-1][2]:
+                told[-1][2] = f[1] + f[2] - told[-1][1]
+            else:
+                told.append([*f[:3], None, None, True])
+        return result + list(map(tuple, told))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -239,12 +259,15 @@ def _passages(spans: DataFrame, window: int, hot: bool) -> DataFrame:
                 found.append((i, begins[i] + begin, end - begin, shard, passage.decode()))
             if not found:
                 continue
-            row, start, length, shard, passage = zip(*found, strict=True)
+            if hot:
+                found = combined(found, batch.column("doc_id").to_pylist(), batch.column("row").to_pylist())
+            row, start, length, shard, passage, *told = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(row)), batch.column("row").take(pa.array(row)),
                     pa.array(start, pa.int32()), pa.array(length, pa.int32()),
                     pa.array(shard, pa.binary() if hot else pa.int64()), pa.array(passage, pa.string()),
+                    *map(pa.array, told),
                 ],
                 names=names,
             )
@@ -253,7 +276,7 @@ def _passages(spans: DataFrame, window: int, hot: bool) -> DataFrame:
     return chosen.select("doc_id", "row", "start", "text", "hot").mapInArrow(
         run,
         f"doc_id {kind}, row bigint, start int, length int, "
-        f"shard {'binary' if hot else 'bigint'}, passage string",
+        + ("shard binary, passage string, told boolean" if hot else "shard bigint, passage string"),
     )
 
 
@@ -405,12 +428,14 @@ def repeated_stretches(docs: DataFrame, window: int = 20) -> DataFrame:
     by_automaton = _judged(_passages(fresh, window, hot=False), window)
     # Under a hot anchor equal passages go first, whole; what is left of it is told by its windows.
     hot = written(_passages(fresh, window, hot=True), "hot-passages")
-    hot = _told_apart(hot, "shard", "judged-passages")
+    early = hot.where("told")
+    hot = _told_apart(hot.where("not told").drop("told"), "shard", "judged-passages")
     windows = written(_windows(hot.where("not later"), window), "hot-windows")
     windows = _told_apart(windows, "shard", "judged-windows")
     windows = windows.withColumn("length", F.lit(window))
     place = ("doc_id", "row", "start", "length")
     told = [table.where("later").select(*place) for table in (judged, hot, windows)]
+    told.append(early.select(*place))
     return reduce(DataFrame.unionByName, told, by_automaton)
 
 

@@ -228,3 +228,21 @@ def test_first_occurrences_are_told_over_tasks(spark):
         first.setdefault(shard, r)
     assert len(found) == len(rows)
     assert {(r["row"], r["later"]) for r in found} == {(r, first[shard] != r) for _, r, _, shard in rows}
+
+
+@pytest.mark.parametrize("most", [1, 3, 200])
+def test_equal_passages_of_many_near_copies(spark, monkeypatch, most):
+    """Copies with an edit each: their passages are equal but for those around the edit."""
+    monkeypatch.setattr(repeats, "MOST_PASSAGES", most)
+    base = prose(12, 240, 10_000).split()
+    rows = [(None, " ".join(base[:100]))]
+    for i in random.Random(1).sample(range(1000), 60):
+        words = list(base)
+        words[i * 7 % 240] = f"edit{i}"
+        rows.append((i, " ".join(words)))
+    expected = brute.repeats([(k if k is not None else -1, t) for k, t in rows])
+    found = {
+        (r["doc_id"] if r["doc_id"] is not None else -1): (r["n_words"], r["n_removed"], r["kept"])
+        for r in mark_repeats(texts(spark, rows)).collect()
+    }
+    assert found == expected and sum(f[1] for f in found.values()) > 10_000
