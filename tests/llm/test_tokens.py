@@ -231,3 +231,25 @@ def test_parts_that_are_forgotten_change_nothing(monkeypatch):
         expected = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(own([text])[0], "<u4").tolist() == expected, repr(text)
     tokens.encoder.cache_clear()
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_new_parts_of_a_text_are_one_encoding(monkeypatch, known):
+    """Unless the vocabulary does not tell where they begin: then each is encoded by itself."""
+    library, sent = Tokenizer.from_file(BYTE_BPE), []
+
+    class Counted:
+        from_file = staticmethod(lambda path: Counted())
+        encode = staticmethod(library.encode)
+        get_vocab = staticmethod(lambda: library.get_vocab() if known else {"</w>": 60_000})
+
+        def encode_batch_fast(self, texts, **settings):
+            sent.extend(texts)
+            return library.encode_batch_fast(texts, **settings)
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Counted)
+    own = tokens.encoder.__wrapped__(BYTE_BPE)
+    text = " ".join(["one", *(f"x{i},Ġy{i}<|endoftext|>'s" for i in range(300)), "\n", "", "end"])
+    expected = library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(own([text])[0], dtype="<u4").tolist() == expected
+    assert len(sent) == (3 if known else 304)
